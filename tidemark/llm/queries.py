@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, language_id, packing, quality, secret_scan, simhash, token_planes
+from . import bpe, curves, html_text, language_id, packing, preference_chat, quality, secret_scan, simhash, token_planes
 from .common import read
 
 
@@ -53,10 +54,18 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 """
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"))
 
 
+def op5_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.nearest_neighbours(read(spark, sf_dir, "embeddings"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(read(spark, sf_dir, "documents"))
 
@@ -74,7 +83,38 @@ def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.round_trip(read(spark, sf_dir, "documents"))
 
 
+def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of the pairs made from all conversations; texts as digests."""
+    segments = preference_chat.format_pairs(*preference_chat.last_reply_pairs(read(spark, sf_dir, "conversations")))
+    text = F.sha2("text", 256).alias("text_sha256")
+    return segments.select("pair_id", "part", F.col("place").cast("long").alias("place"), "piece", "role", text, F.col("start").cast("long").alias("start"), F.length("text").cast("long").alias("n_chars"), "loss")
+
+
+OP10_SQL = r"""
+WITH t AS (SELECT conv_id AS pair_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+e AS (
+  SELECT pair_id, max(CASE WHEN role = 'assistant' THEN turn END) AS last, min(CASE WHEN role = 'assistant' THEN {'turn': turn, 'text': text} END) AS early, min({'turn': turn, 'text': text}) AS start
+  FROM t GROUP BY pair_id),
+k AS (
+  SELECT t.*, last, CASE WHEN early.turn < last THEN early.text ELSE start.text END AS stale FROM t JOIN e USING (pair_id) WHERE last IS NOT NULL AND turn <= last),
+c AS (SELECT pair_id, turn, role, text, row_number() OVER (PARTITION BY pair_id ORDER BY turn, role, text) - 1 AS place FROM k),
+r AS (
+  SELECT pair_id, turn, role, text, row_number() OVER (PARTITION BY pair_id ORDER BY turn, role, text) - 1 AS place
+  FROM (SELECT pair_id, turn, role, CASE WHEN turn = last AND role = 'assistant' THEN stale ELSE text END AS text FROM k)),
+p AS (
+  SELECT coalesce(c.pair_id, r.pair_id) AS pair_id,
+    coalesce(min(CASE WHEN c.role IS DISTINCT FROM r.role OR c.text IS DISTINCT FROM r.text THEN coalesce(c.place, r.place) END), max(coalesce(c.place, r.place)) + 1) AS common
+  FROM c FULL JOIN r ON c.pair_id = r.pair_id AND c.place = r.place GROUP BY ALL),
+s AS (
+  SELECT c.pair_id, CASE WHEN place < common THEN 'prompt' ELSE 'chosen' END AS part, place, role, text FROM c JOIN p ON p.pair_id = c.pair_id
+  UNION ALL SELECT r.pair_id, 'rejected', place, role, text FROM r JOIN p ON p.pair_id = r.pair_id WHERE place >= common),
+h AS (SELECT *, '<|' || role || '|>' || chr(10) AS head, text || '<|end|>' || chr(10) AS body FROM s),
+o AS (SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY pair_id, part ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at_ FROM h)
+SELECT pair_id, part, place::BIGINT AS place, 0 AS piece, role, sha256(head) AS text_sha256, at_::BIGINT AS start, length(head)::BIGINT AS n_chars, false AS loss FROM o
+UNION ALL SELECT pair_id, part, place::BIGINT, 1, role, sha256(body), (at_ + length(head))::BIGINT, length(body)::BIGINT, part <> 'prompt' AND role = 'assistant' FROM o
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_quality_rules, op4_bpe, op6_secret_scan, op7_simhash, op8_language_id, op9_token_planes)
+    f.__name__: f for f in (op1_packing, op2_quality_rules, op3_html_text, op4_bpe, op5_curves, op6_secret_scan, op7_simhash, op8_language_id, op9_token_planes, op10_preferences)
 }
-ORACLES: dict[str, str] = {"op2_quality_rules": OP2_SQL}
+ORACLES: dict[str, str] = {"op2_quality_rules": OP2_SQL, "op10_preferences": OP10_SQL}
