@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import MISSING, finite_or_zero, novelty
 from . import profile as P
+from .held import hold, holding
 
 
 @dataclass(frozen=True)
@@ -281,24 +282,25 @@ def base_evidence(train: DataFrame, current: DataFrame, numeric: list[str], cate
 
     The value counts are cached (memory, then disk) while the evidence is worked out from them, and freed after.
     """
-    recent, parts, cached = recent_counter(blocks), [], []
+    with holding():
+        return frozen(_base_evidence(train, current, numeric, categorical, blocks, target, limits, period))
+
+
+def _base_evidence(train: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], blocks: P.Blocks, target: str, limits: Thresholds, period: str) -> DataFrame:
+    recent, parts = recent_counter(blocks), []
     empty_text = {c: F.lit(None).cast("boolean" if c in ("compatible_cardinality", "category_remap_safe") else "double") for c in CHECKS_TEXT}
     empty_number = {c: F.lit(None).cast("boolean" if c.endswith("safe") or c == "enough_observations" else "double") for c in CHECKS_NUMERIC}
 
-    def keep(df: DataFrame) -> DataFrame:
-        cached.append(df.persist())
-        return cached[-1]
-
     if numeric:
-        counts = keep(P.counted(train, current, numeric, True, blocks, target, period))
-        cum = keep(P.cumulative(counts, [*counters_of(blocks), "n_train"]))
+        counts = hold(P.counted(train, current, numeric, True, blocks, target, period))
+        cum = hold(P.cumulative(counts, [*counters_of(blocks), "n_train"]))
         one = _joined([P.support(counts, recent), missing_shift(counts, blocks), numeric_shift(cum, blocks), rank_correlation_with_target(cum), representation(cum, recent, limits)])
         parts.append(
             one.withColumns({"kind": F.lit("numeric"), "known_category_support_ratio": F.lit(1.0), "category_mapping": F.lit(None).cast("map<string,string>"), **empty_text})
         )
     if categorical:
-        counts = keep(P.counted(train, current, categorical, False, blocks, target, period))
-        levels = keep(P.with_canonical(counts))
+        counts = hold(P.counted(train, current, categorical, False, blocks, target, period))
+        levels = hold(P.with_canonical(counts))
         one = _joined([P.support(counts, recent), missing_shift(counts, blocks), categorical_shift(levels, blocks), level_rate_spread(levels, limits), known_support(levels, recent), remap(levels, recent, limits)])
         parts.append(one.withColumns({"kind": F.lit("categorical"), "scale_factor": F.lit(None).cast("double"), "offset": F.lit(None).cast("double"), **empty_number}))
     checks = F.struct(*[F.col(c) for c in (*CHECKS_NUMERIC, *CHECKS_TEXT)]).alias("evidence_checks")
@@ -310,11 +312,7 @@ def base_evidence(train: DataFrame, current: DataFrame, numeric: list[str], cate
         flat.append(decide_review(p, blocks.enough, limits).select(*[checks if c == "evidence_checks" else F.col(c) for c in EVIDENCE]))
     if not flat:
         raise ValueError("there is no shared feature")
-    try:
-        return frozen(flat[0] if len(flat) == 1 else flat[0].unionByName(flat[1]))
-    finally:
-        for df in cached:
-            df.unpersist()
+    return flat[0] if len(flat) == 1 else flat[0].unionByName(flat[1])
 
 
 def average_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -329,7 +327,7 @@ def average_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def spearman(df: DataFrame, left: str, right: str, keys: list[str]) -> DataFrame:
     """(keys, spearman) over pairs with both values finite; 0 for fewer than three pairs or a constant side."""
     fine = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
-    pairs = df.where(fine(left) & fine(right)).select(*keys, left, right)
+    pairs = hold(df.where(fine(left) & fine(right)).select(*keys, left, right))
     a = average_ranks(pairs, keys, left).select(*keys, left, F.col("rank").alias("__a"))
     b = average_ranks(pairs, keys, right).select(*keys, right, F.col("rank").alias("__b"))
     ranked = pairs.join(a, [*keys, left]).join(b, [*keys, right])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import canonical_category, lookup, number, right_closed_bucket
 from . import drift, ranks
+from .held import hold, holding
 from .profile import Blocks, cumulative, long_form
 
 
@@ -136,6 +137,7 @@ def consensus(anchors: list[Anchor]) -> Column:
 def direction(rows: DataFrame, features: list[str], anchors: list[Anchor], period: str = "period_idx") -> DataFrame:
     """(feature, spearman) of the rank within the period and the consensus."""
     long = long_form(rows.withColumn("__consensus", consensus(anchors)), [period, "__consensus"], features, True).where("value IS NOT NULL")
+    long = hold(long)
     table = ranks.percentile_ranks(long, ["feature", period]).drop("n")
     return drift.spearman(long.join(table, ["feature", period, "value"]), "percentile", "__consensus", ["feature"])
 
@@ -143,6 +145,11 @@ def direction(rows: DataFrame, features: list[str], anchors: list[Anchor], perio
 def add_orientation(evidence: DataFrame, train: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], blocks: Blocks, target: str, limits: OrientationLimits = OrientationLimits(), period: str = "period_idx") -> DataFrame:
     """evidence with orientation_train, orientation_test and orientation_anchor_count; zeros where nothing is under review."""
     zero = {"orientation_train": F.lit(0.0), "orientation_test": F.lit(0.0), "orientation_anchor_count": F.lit(0)}
+    with holding():
+        return _add_orientation(evidence, train, current, numeric, categorical, blocks, target, limits, period, zero)
+
+
+def _add_orientation(evidence: DataFrame, train: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], blocks: Blocks, target: str, limits: OrientationLimits, period: str, zero: dict) -> DataFrame:
     review = evidence.where(F.col("action") == drift.REVIEW_NOVEL).select("feature", "kind", "unique_values").collect()
     if not review:
         return evidence.withColumns(zero)

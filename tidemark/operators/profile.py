@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import canonical_category, number
+from .held import hold
 
 #: Value ranges of a feature for cumulative counts, and periods that a driver-side block list may have.
 RANGES, MOST_PERIODS = 64, 4096
@@ -105,6 +106,7 @@ def value_ranges(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
 
 def cumulative(counts: DataFrame, counters: list[str], ranges: int = RANGES) -> DataFrame:
     """Adds c_<counter> (up to and with the value) and t_<counter> (total) for non-null values, by feature."""
+    counts = hold(counts)
     ranged = value_ranges(counts, ranges) if ranges > 1 else counts.where("value IS NOT NULL").withColumn("range", F.lit(0))
     by_range = ranged.groupBy("feature", "range").agg(*[F.sum(c).alias(f"s_{c}") for c in counters])
     before, whole = Window.partitionBy("feature").orderBy("range").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("feature")

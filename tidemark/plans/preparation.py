@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import POOLED, canonical_category, interpolate, lookup, number, yes_no
 from ..operators import orientation, policy, profile, ranks
 from ..operators.drift import LIMITS
+from ..operators.held import holding
 from ..sources.contract import ColumnContract, bad_periods, by_kind, require_columns, require_rows, shared_features, with_period, without_target
 
 #: Levels that a literal code map may have, and knots (over all features and periods) that may be broadcast.
@@ -92,6 +93,11 @@ def check_target(train: DataFrame, contract: ColumnContract) -> DataFrame:
 
 def build_plan(train: DataFrame, current: DataFrame, contract: ColumnContract = ColumnContract(), map_knots: int = ranks.MOST_KNOTS) -> PreparationPlan:
     """Validate, detect, decide, freeze."""
+    with holding():
+        return _build_plan(train, current, contract, map_knots)
+
+
+def _build_plan(train: DataFrame, current: DataFrame, contract: ColumnContract, map_knots: int) -> PreparationPlan:
     require_columns(train, contract.all(), "the training table")
     require_columns(current, contract.all()[:2], "the current table")
     require_rows(train, "the training table")
