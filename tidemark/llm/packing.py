@@ -57,7 +57,7 @@ class Packer:
             i = self.n
             self.keys[i], self.start[i], self.left[i], self.free[i] = key, start, n - start, max(0, prompt - start)
             self.n += 1
-            if self.n > self.window:
+            while self.n > self.window:
                 self._pack_one()
 
     @staticmethod
@@ -98,6 +98,8 @@ class Packer:
                 self.start[i] += take
                 self.left[i] -= take
                 self.free[i] = max(0, int(self.free[i]) - take)
+        if not segment:
+            raise ValueError("the limits leave no room for a single token")
         self.sequence += 1
 
 
