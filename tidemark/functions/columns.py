@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Stand-in level for a missing category, stand-in period for "all periods", and what counts as white space.
 MISSING, POOLED = "__missing__", "__all__"
@@ -23,9 +24,9 @@ def null_tokens_to_null(c: Column) -> Column:
     return F.when(~c.isin(*NULL_TOKENS), c)
 
 
-def number(c: Column) -> Column:
-    """Lenient double: text that is no number, and NaN, become null."""
-    x = c.cast("string").try_cast("double")
+def number(c: Column, kind: T.DataType | None = None) -> Column:
+    """Lenient double: text that is no number, and NaN, become null.  A numeric kind saves the way through text."""
+    x = c.cast("double") if isinstance(kind, T.NumericType | T.BooleanType) else c.cast("string").try_cast("double")
     return F.when(~F.isnan(x), x)
 
 

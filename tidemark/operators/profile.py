@@ -16,7 +16,7 @@ from ..functions.columns import canonical_category, number
 from .held import hold
 
 #: Value ranges of a feature for cumulative counts, and periods that a driver-side block list may have.
-RANGES, MOST_PERIODS = 64, 4096
+RANGES, MOST_PERIODS = 32, 4096
 
 
 @dataclass(frozen=True)
@@ -68,7 +68,7 @@ def history_blocks(train: DataFrame, period: str = "period_idx") -> Blocks:
 
 def long_form(df: DataFrame, keep: list[str], features: list[str], numeric: bool) -> DataFrame:
     """(keep..., feature, value): one row for each row and feature, in one pass; value is double, or text as it is."""
-    value = (lambda c: number(F.col(f"`{c}`"))) if numeric else (lambda c: F.col(f"`{c}`").cast("string"))
+    value = (lambda c: number(F.col(f"`{c}`"), df.schema[c].dataType)) if numeric else (lambda c: F.col(f"`{c}`").cast("string"))
     if not features:
         return df.select(*keep, F.lit("").alias("feature"), F.lit(None).cast("double" if numeric else "string").alias("value")).where(F.lit(False))
     pairs = F.array(*[F.struct(F.lit(f).alias("feature"), value(f).alias("value")) for f in features])

@@ -12,6 +12,7 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from ..functions.columns import POOLED, canonical_category, interpolate, lookup, number, yes_no
 from ..operators import orientation, policy, profile, ranks
@@ -141,9 +142,9 @@ def _build_plan(train: DataFrame, current: DataFrame, contract: ColumnContract,
     )
 
 
-def _percentile(plan: PreparationPlan, feature: str, side: str) -> Column:
+def _percentile(plan: PreparationPlan, feature: str, side: str, kind: DataType | None = None) -> Column:
     """Percentile from the joined map columns; reversed on the test side after narrowing."""
-    p = interpolate(number(F.col(f"`{feature}`")), F.col(f"__map_{feature}.knots"), F.col(f"__map_{feature}.heights")).cast("float")
+    p = interpolate(number(F.col(f"`{feature}`"), kind), F.col(f"__map_{feature}.knots"), F.col(f"__map_{feature}.heights")).cast("float")
     if side == "test" and feature in plan.reversed:
         p = (F.lit(1.0).cast("float") - p).cast("float")
     return F.coalesce(p, F.lit(plan.fills[feature]).cast("float"))
@@ -156,8 +157,8 @@ def encode_category(plan: PreparationPlan, feature: str, side: str) -> Column:
     return lookup(plan.codes[feature], level, F.lit(-1)).cast("int")
 
 
-def prepare_number(plan: PreparationPlan, feature: str, side: str) -> Column:
-    x = number(F.col(f"`{feature}`"))
+def prepare_number(plan: PreparationPlan, feature: str, side: str, kind: DataType | None = None) -> Column:
+    x = number(F.col(f"`{feature}`"), kind)
     if side == "test" and feature in plan.scales:
         x = x / F.lit(plan.scales[feature])
     elif side == "test" and feature in plan.offsets:
@@ -191,7 +192,8 @@ def transform(df: DataFrame, plan: PreparationPlan, side: str, keep: tuple[str,
         raise ValueError("side is train or test")
     cols = []
     for f in plan.features:
-        c = encode_category(plan, f, side) if f in plan.categorical else _percentile(plan, f, side) if f in plan.ranked else prepare_number(plan, f, side)
+        kind = df.schema[f].dataType
+        c = encode_category(plan, f, side) if f in plan.categorical else _percentile(plan, f, side, kind) if f in plan.ranked else prepare_number(plan, f, side, kind)
         cols.append(c.alias(f))
     return _with_maps(df, plan, side).select(*[F.col(f"`{k}`") for k in keep], *cols)
 
