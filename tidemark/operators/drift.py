@@ -145,13 +145,14 @@ def known_support(levels: DataFrame, recent: str, missing: bool = True) -> DataF
 def representation(cumulated: DataFrame, recent: str, limits: Thresholds = LIMITS, ranges: int = P.RANGES) -> DataFrame:
     """Scale and offset evidence: quantile alignment and the shape distance of the standardised values."""
     names = ["q10", "q25", "q50", "q75", "q90"]
+    cumulated = hold(cumulated)
     q = cumulated.groupBy("feature").agg(
         F.max(f"t_{recent}").alias("n_r"), F.max("t_n_current").alias("n_c"),
         F.count_if(F.col(recent) > 0).alias("d_r"), F.count_if(F.col("n_current") > 0).alias("d_c"),
         *[quantile(recent, p).alias(f"r_{n}") for n, p in zip(names, PROBABILITIES, strict=True)],
         *[quantile("n_current", p).alias(f"c_{n}") for n, p in zip(names, PROBABILITIES, strict=True)],
     )
-    q = q.withColumns({"s_r": F.col("r_q75") - F.col("r_q25"), "s_c": F.col("c_q75") - F.col("c_q25")})
+    q = hold(q.withColumns({"s_r": F.col("r_q75") - F.col("r_q25"), "s_c": F.col("c_q75") - F.col("c_q25")}))
     enough = (F.least("n_r", "n_c") >= limits.observations) & (F.least("d_r", "d_c") >= limits.distinct) & (F.least("s_r", "s_c") > limits.spread_least)
     fit = q.where(enough)
     std = cumulated.select("feature", "value", recent, "n_current").join(F.broadcast(fit.select("feature", "r_q50", "c_q50", "s_r", "s_c")), "feature")
