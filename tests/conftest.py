@@ -18,6 +18,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "false")  # many small jobs: re-planning each would be most of the time
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # else each Column operation asks the JVM ten times
         .config("spark.driver.memory", "3g")
         .getOrCreate()
     )

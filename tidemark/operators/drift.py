@@ -48,35 +48,33 @@ PROBABILITIES = (0.10, 0.25, 0.50, 0.75, 0.90)
 REVIEW_NOVEL, REVIEW_MISSINGNESS, KEEP = "REVIEW_NOVEL", "REVIEW_MISSINGNESS", "KEEP"
 
 
-def _greatest(cols: list[Column]) -> Column:
-    cols = [F.coalesce(c, F.lit(0.0)) for c in cols]
-    return cols[0] if len(cols) == 1 else F.greatest(*cols) if cols else F.lit(0.0)
+def _greatest(texts: list[str]) -> Column:
+    """The largest of SQL expressions, null as 0; 0 if there is none."""
+    return F.expr(f"greatest(0D, 0D{''.join(f', coalesce({x}, 0D)' for x in texts)})")
 
 
 def ks_between(a: str, b: str) -> Column:
     """Aggregate over a cumulative table: the two-sample Kolmogorov-Smirnov statistic of two counters; 0 if one is empty."""
-    share = lambda c: F.try_divide(F.col(f"c_{c}"), F.col(f"t_{c}"))
-    return F.coalesce(F.max(F.abs(share(a) - share(b))), F.lit(0.0))
+    return F.expr(f"coalesce(max(abs(try_divide(c_{a}, t_{a}) - try_divide(c_{b}, t_{b}))), 0D)")
 
 
 def total_variation_between(a: str, b: str, sums: dict[str, str]) -> Column:
     """Aggregate over level counts with totals t_*: half the sum of share differences."""
-    share = lambda c: F.coalesce(F.try_divide(F.col(c), F.col(sums[c])), F.lit(0.0))
-    return 0.5 * F.sum(F.abs(share(a) - share(b)))
+    share = lambda c: f"coalesce(try_divide({c}, {sums[c]}), 0D)"
+    return F.expr(f"0.5D * sum(abs({share(a)} - {share(b)}))")
 
 
 def quantile(counter: str, p: float) -> Column:
     """Aggregate over a cumulative table: the p quantile of a counter's values, linear between neighbours."""
-    place = (F.col(f"t_{counter}") - 1) * F.lit(p)
-    low = F.floor(place)
-    at = lambda k: F.min(F.when(F.col(f"c_{counter}") >= k, F.col("value")))
-    a, b = at(low + 1), at(F.least(low + 2, F.col(f"t_{counter}")))
-    return a + F.max(place - low) * (b - a)
+    place = f"((t_{counter} - 1) * {float(p)!r}D)"
+    low = f"floor({place})"
+    at = lambda k: f"min(CASE WHEN c_{counter} >= {k} THEN value END)"
+    a, b = at(f"{low} + 1"), at(f"least({low} + 2, t_{counter})")
+    return F.expr(f"{a} + max({place} - {low}) * ({b} - {a})")
 
 
 def with_totals(counts: DataFrame, counters: list[str]) -> DataFrame:
-    whole = Window.partitionBy("feature")
-    return counts.withColumns({f"t_{c}": F.sum(c).over(whole) for c in counters})
+    return counts.selectExpr("*", *[f"sum({c}) OVER (PARTITION BY feature) AS t_{c}" for c in counters])
 
 
 def adjacent(blocks: P.Blocks) -> list[tuple[str, str]]:
@@ -95,7 +93,7 @@ def numeric_shift(cumulated: DataFrame, blocks: P.Blocks) -> DataFrame:
     """(feature, current_shift, historical_max_shift, shifts by adjacent pair)."""
     pairs = adjacent(blocks)
     one = cumulated.groupBy("feature").agg(ks_between(recent_counter(blocks), "n_current").alias("current_shift"), *[ks_between(a, b).alias(f"h_{a}") for a, b in pairs])
-    return one.withColumn("historical_max_shift", _greatest([F.col(f"h_{a}") for a, _ in pairs]))
+    return one.withColumn("historical_max_shift", _greatest([f"h_{a}" for a, _ in pairs]))
 
 
 def categorical_shift(levels: DataFrame, blocks: P.Blocks) -> DataFrame:
@@ -106,7 +104,7 @@ def categorical_shift(levels: DataFrame, blocks: P.Blocks) -> DataFrame:
         total_variation_between(recent_counter(blocks), "n_current", totals).alias("current_shift"),
         *[total_variation_between(a, b, totals).alias(f"h_{a}") for a, b in pairs],
     )
-    return one.withColumn("historical_max_shift", _greatest([F.col(f"h_{a}") for a, _ in pairs]))
+    return one.withColumn("historical_max_shift", _greatest([f"h_{a}" for a, _ in pairs]))
 
 
 def rank_correlation_with_target(cumulated: DataFrame) -> DataFrame:
@@ -115,15 +113,13 @@ def rank_correlation_with_target(cumulated: DataFrame) -> DataFrame:
     Ranks of a two-valued target are affine in it, so this is the correlation of the feature's average ranks with the
     target; both follow from n_train, its cumulative count and pos.
     """
-    rank = F.col("c_n_train") - (F.col("n_train") - 1) / 2
-    off = rank - (F.col("t_n_train") + 1) / 2
+    off = "(c_n_train - (n_train - 1) / 2 - (t_n_train + 1) / 2)"
     one = cumulated.where("n_train > 0").groupBy("feature").agg(
-        F.sum("n_train").alias("n"), F.sum("pos").alias("p"), F.count("*").alias("d"), (F.max("value") - F.min("value")).alias("range"),
-        F.sum(F.col("pos") * off).alias("cov"), F.sum(F.col("n_train") * off * off).alias("var"),
+        F.expr("sum(n_train) AS n"), F.expr("sum(pos) AS p"), F.expr("count(*) AS d"), F.expr("max(value) - min(value) AS width"),
+        F.expr(f"sum(pos * {off}) AS cov"), F.expr(f"sum(n_train * {off} * {off}) AS var"),
     )
-    spread = F.sqrt(F.col("var") / F.col("n")) * F.sqrt(F.col("p") / F.col("n") * (1 - F.col("p") / F.col("n")))
-    usable = (F.col("n") >= 20) & (F.col("d") >= 2) & (F.col("range") > 1e-12) & (F.col("p") > 0) & (F.col("p") < F.col("n"))
-    return one.select("feature", F.when(usable, F.abs(F.col("cov") / F.col("n") / spread)).otherwise(F.lit(0.0)).alias("predictive_strength"))
+    usable = "n >= 20 AND d >= 2 AND width > 1e-12D AND p > 0 AND p < n"
+    return one.selectExpr("feature", f"CASE WHEN {usable} THEN abs(cov / n / (sqrt(var / n) * sqrt(p / n * (1 - p / n)))) ELSE 0D END AS predictive_strength")
 
 
 def level_rate_spread(levels: DataFrame, limits: Thresholds = LIMITS) -> DataFrame:
@@ -147,46 +143,40 @@ def representation(cumulated: DataFrame, recent: str, limits: Thresholds = LIMIT
     names = ["q10", "q25", "q50", "q75", "q90"]
     cumulated = hold(cumulated)
     q = cumulated.groupBy("feature").agg(
-        F.max(f"t_{recent}").alias("n_r"), F.max("t_n_current").alias("n_c"),
-        F.count_if(F.col(recent) > 0).alias("d_r"), F.count_if(F.col("n_current") > 0).alias("d_c"),
+        F.expr(f"max(t_{recent}) AS n_r"), F.expr("max(t_n_current) AS n_c"),
+        F.expr(f"count_if({recent} > 0) AS d_r"), F.expr("count_if(n_current > 0) AS d_c"),
         *[quantile(recent, p).alias(f"r_{n}") for n, p in zip(names, PROBABILITIES, strict=True)],
         *[quantile("n_current", p).alias(f"c_{n}") for n, p in zip(names, PROBABILITIES, strict=True)],
     )
-    q = hold(q.withColumns({"s_r": F.col("r_q75") - F.col("r_q25"), "s_c": F.col("c_q75") - F.col("c_q25")}))
-    enough = (F.least("n_r", "n_c") >= limits.observations) & (F.least("d_r", "d_c") >= limits.distinct) & (F.least("s_r", "s_c") > limits.spread_least)
+    q = hold(q.selectExpr("*", "r_q75 - r_q25 AS s_r", "c_q75 - c_q25 AS s_c"))
+    enough = f"least(n_r, n_c) >= {limits.observations} AND least(d_r, d_c) >= {limits.distinct} AND least(s_r, s_c) > {limits.spread_least!r}D"
     fit = q.where(enough)
     std = cumulated.select("feature", "value", recent, "n_current").join(F.broadcast(fit.select("feature", "r_q50", "c_q50", "s_r", "s_c")), "feature")
-    z = F.explode(
-        F.array(
-            F.struct(((F.col("value") - F.col("r_q50")) / F.col("s_r")).alias("value"), F.col(recent).alias("a"), F.lit(0).cast("long").alias("b")),
-            F.struct(((F.col("value") - F.col("c_q50")) / F.col("s_c")).alias("value"), F.lit(0).cast("long").alias("a"), F.col("n_current").alias("b")),
-        )
-    )
-    counts = std.select("feature", z.alias("z")).select("feature", "z.*").where("a + b > 0").groupBy("feature", "value").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    z = f"explode(array(struct((value - r_q50) / s_r AS value, {recent} AS a, 0L AS b), struct((value - c_q50) / s_c AS value, 0L AS a, n_current AS b))) AS z"
+    counts = std.selectExpr("feature", z).select("feature", "z.*").where("a + b > 0").groupBy("feature", "value").agg(F.expr("sum(a) AS a"), F.expr("sum(b) AS b"))
     shape = P.cumulative(counts, ["a", "b"], ranges).groupBy("feature").agg(ks_between("a", "b").alias("shape_ks"))
-    ratio, offset = F.col("s_c") / F.col("s_r"), F.col("c_q50") - F.col("r_q50")
-    worst = lambda moved: F.greatest(*[F.abs(moved(F.col(f"c_{n}")) - F.col(f"r_{n}")) for n in names]) / F.col("s_r")
-    out = fit.join(shape, "feature").select(
-        "feature", "shape_ks", ratio.alias("spread_ratio"), worst(lambda x: x / ratio).alias("scale_alignment_error"), offset.alias("offset_value"),
-        worst(lambda x: x - offset).alias("offset_alignment_error"), (F.abs(offset) / F.col("s_r")).alias("offset_spread_multiples"),
+    ratio, offset = "(s_c / s_r)", "(c_q50 - r_q50)"
+    worst = lambda by: f"greatest({', '.join(f'abs(c_{n} {by} - r_{n})' for n in names)}) / s_r"
+    out = fit.join(shape, "feature").selectExpr(
+        "feature", "shape_ks", f"{ratio} AS spread_ratio", f"{worst(f'/ {ratio}')} AS scale_alignment_error", f"{offset} AS offset_value",
+        f"{worst(f'- {offset}')} AS offset_alignment_error", f"abs({offset}) / s_r AS offset_spread_multiples",
     )
-    alike = F.col("shape_ks") <= limits.shape_ks
-    scale = alike & ((F.col("spread_ratio") >= limits.scale_factor) | (F.col("spread_ratio") <= 1 / limits.scale_factor)) & (F.col("scale_alignment_error") <= limits.alignment_error)
-    moved = alike & F.col("spread_ratio").between(limits.offset_ratio_low, limits.offset_ratio_high) & (F.col("offset_spread_multiples") >= limits.offset_spreads)
-    out = out.withColumns({"scale_repair_safe": scale, "offset_repair_safe": moved & (F.col("offset_alignment_error") <= limits.alignment_error)})
-    full = q.select("feature").join(out, "feature", "left")
-    return full.select(
+    alike, factor, error = f"shape_ks <= {limits.shape_ks!r}D", limits.scale_factor, limits.alignment_error
+    scale = f"{alike} AND (spread_ratio >= {factor!r}D OR spread_ratio <= {1 / factor!r}D) AND scale_alignment_error <= {error!r}D"
+    within = f"spread_ratio BETWEEN {limits.offset_ratio_low!r}D AND {limits.offset_ratio_high!r}D AND offset_spread_multiples >= {limits.offset_spreads!r}D"
+    out = out.selectExpr("*", f"{scale} AS scale_repair_safe", f"{alike} AND {within} AND offset_alignment_error <= {error!r}D AS offset_repair_safe")
+    return q.select("feature").join(out, "feature", "left").selectExpr(
         "feature",
-        F.col("shape_ks").isNotNull().alias("enough_observations"),
-        F.coalesce("shape_ks", F.lit(1.0)).alias("shape_ks"),
-        F.coalesce("spread_ratio", F.lit(0.0)).alias("spread_ratio"),
+        "shape_ks IS NOT NULL AS enough_observations",
+        "coalesce(shape_ks, 1D) AS shape_ks",
+        "coalesce(spread_ratio, 0D) AS spread_ratio",
         "scale_alignment_error",
         "offset_alignment_error",
-        F.coalesce("offset_spread_multiples", F.lit(0.0)).alias("offset_spread_multiples"),
-        F.coalesce("scale_repair_safe", F.lit(False)).alias("scale_repair_safe"),
-        F.coalesce("offset_repair_safe", F.lit(False)).alias("offset_repair_safe"),
-        F.when(F.col("scale_repair_safe"), F.col("spread_ratio")).alias("scale_factor"),
-        F.when(F.col("offset_repair_safe"), F.col("offset_value")).alias("offset"),
+        "coalesce(offset_spread_multiples, 0D) AS offset_spread_multiples",
+        "coalesce(scale_repair_safe, false) AS scale_repair_safe",
+        "coalesce(offset_repair_safe, false) AS offset_repair_safe",
+        "CASE WHEN scale_repair_safe THEN spread_ratio END AS scale_factor",
+        "CASE WHEN offset_repair_safe THEN offset_value END AS `offset`",
     )
 
 
@@ -235,20 +225,21 @@ def remap(levels: DataFrame, recent: str, limits: Thresholds = LIMITS) -> DataFr
 def missing_shift(counts: DataFrame, blocks: P.Blocks) -> DataFrame:
     """(feature, missing_shift, historical_missing_shift, missing_novelty_ratio)."""
     rates = P.missing_rates(counts, counters_of(blocks))
-    jump = lambda a, b: F.abs(F.col(f"m_{a}") - F.col(f"m_{b}"))
-    now, past = jump(recent_counter(blocks), "n_current"), _greatest([jump(a, b) for a, b in adjacent(blocks)])
-    return rates.select("feature", now.alias("missing_shift"), past.alias("historical_missing_shift"), novelty(now, past).alias("missing_novelty_ratio"))
+    jump = lambda a, b: f"abs(m_{a} - m_{b})"
+    past = _greatest([jump(a, b) for a, b in adjacent(blocks)])
+    both = rates.select("feature", F.expr(jump(recent_counter(blocks), "n_current")).alias("missing_shift"), past.alias("historical_missing_shift"))
+    return both.withColumn("missing_novelty_ratio", novelty(F.col("missing_shift"), F.col("historical_missing_shift")))
 
 
 def decide_review(evidence: DataFrame, enough_history: bool, limits: Thresholds = LIMITS) -> DataFrame:
     """unusual_movement and the review action; missingness has priority."""
-    c = F.col
-    by_missing = (c("missing_shift") >= F.greatest(F.lit(limits.main_missing_least), limits.main_missing_share * c("current_shift"))) & (c("missing_novelty_ratio") >= limits.novelty)
-    unusual = F.lit(enough_history) & (c("current_shift") >= limits.current_shift) & (c("novelty_ratio") >= limits.novelty) & ~by_missing
-    signal = c("predictive_strength") >= limits.predictive
-    lost = F.lit(enough_history) & (c("missing_shift") >= limits.missing_shift) & (c("missing_novelty_ratio") >= limits.novelty) & signal
-    action = F.when(lost, F.lit(REVIEW_MISSINGNESS)).when(unusual & signal, F.lit(REVIEW_NOVEL)).otherwise(F.lit(KEEP))
-    return evidence.withColumns({"unusual_movement": unusual, "action": action})
+    enough, new = str(bool(enough_history)).lower(), f"missing_novelty_ratio >= {limits.novelty!r}D"
+    by_missing = f"missing_shift >= greatest({limits.main_missing_least!r}D, {limits.main_missing_share!r}D * current_shift) AND {new}"
+    unusual = f"({enough} AND current_shift >= {limits.current_shift!r}D AND novelty_ratio >= {limits.novelty!r}D AND NOT ({by_missing}))"
+    signal = f"predictive_strength >= {limits.predictive!r}D"
+    lost = f"{enough} AND missing_shift >= {limits.missing_shift!r}D AND {new} AND {signal}"
+    action = f"CASE WHEN {lost} THEN '{REVIEW_MISSINGNESS}' WHEN {unusual} AND {signal} THEN '{REVIEW_NOVEL}' ELSE '{KEEP}' END"
+    return evidence.withColumns({"unusual_movement": F.expr(unusual), "action": F.expr(action)})
 
 
 def add_systemic(evidence: DataFrame, limits: Thresholds = LIMITS) -> DataFrame:
@@ -289,8 +280,8 @@ def base_evidence(train: DataFrame, current: DataFrame, numeric: list[str], cate
 
 def _base_evidence(train: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], blocks: P.Blocks, target: str, limits: Thresholds, period: str) -> DataFrame:
     recent, parts = recent_counter(blocks), []
-    empty_text = {c: F.lit(None).cast("boolean" if c in ("compatible_cardinality", "category_remap_safe") else "double") for c in CHECKS_TEXT}
-    empty_number = {c: F.lit(None).cast("boolean" if c.endswith("safe") or c == "enough_observations" else "double") for c in CHECKS_NUMERIC}
+    empty_text = {c: F.expr(f"CAST(NULL AS {'boolean' if c in ('compatible_cardinality', 'category_remap_safe') else 'double'})") for c in CHECKS_TEXT}
+    empty_number = {c: F.expr(f"CAST(NULL AS {'boolean' if c.endswith('safe') or c == 'enough_observations' else 'double'})") for c in CHECKS_NUMERIC}
 
     if numeric:
         counts = hold(P.counted(train, current, numeric, True, blocks, target, period))
@@ -304,13 +295,13 @@ def _base_evidence(train: DataFrame, current: DataFrame, numeric: list[str], cat
         levels = hold(P.with_canonical(counts))
         one = _joined([P.support(counts, recent), missing_shift(counts, blocks), categorical_shift(levels, blocks), level_rate_spread(levels, limits), known_support(levels, recent), remap(levels, recent, limits)])
         parts.append(one.withColumns({"kind": F.lit("categorical"), "scale_factor": F.lit(None).cast("double"), "offset": F.lit(None).cast("double"), **empty_number}))
-    checks = F.struct(*[F.col(c) for c in (*CHECKS_NUMERIC, *CHECKS_TEXT)]).alias("evidence_checks")
+    checks = f"struct({', '.join((*CHECKS_NUMERIC, *CHECKS_TEXT))}) AS evidence_checks"
     flat = []
     for p in parts:
         for c in ("current_shift", "historical_max_shift", "predictive_strength"):
             p = p.withColumn(c, finite_or_zero(F.col(c)))
         p = p.withColumn("novelty_ratio", novelty(F.col("current_shift"), F.col("historical_max_shift")))
-        flat.append(decide_review(p, blocks.enough, limits).select(*[checks if c == "evidence_checks" else F.col(c) for c in EVIDENCE]))
+        flat.append(decide_review(p, blocks.enough, limits).selectExpr(*[checks if c == "evidence_checks" else f"`{c}`" for c in EVIDENCE]))
     if not flat:
         raise ValueError("there is no shared feature")
     return flat[0] if len(flat) == 1 else flat[0].unionByName(flat[1])

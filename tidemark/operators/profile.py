@@ -3,6 +3,8 @@
 One aggregation by (feature, value) feeds shift, support, missingness, quantiles and rank correlation; no operator
 looks at the rows again.  Cumulative counts use windows over (feature, range of values): ranges come from approximate
 quantiles of each feature and their totals are summed before, so no window holds a whole feature.
+
+Wide lists of counters are SQL text: each Column operation costs calls to the JVM, a text costs one.
 """
 
 from __future__ import annotations
@@ -40,8 +42,8 @@ class Blocks:
 
     def of(self, period: Column) -> Column:
         """Number of the block; null for a period outside."""
-        pairs = F.create_map(*[F.lit(x) for i, p in enumerate(self.periods) for x in (p, i // self.width)])
-        return F.try_element_at(pairs, period)
+        pairs = ", ".join(f"{p}, {i // self.width}" for i, p in enumerate(self.periods))
+        return F.try_element_at(F.expr(f"map({pairs})"), period)
 
     def recent_periods(self) -> tuple[int, ...]:
         """The last two periods, or the last one of fewer than four."""
@@ -87,49 +89,47 @@ def counted(train: DataFrame, current: DataFrame, features: list[str], numeric:
         F.count_if(~F.col("__now")).alias("n_train"),
         F.count_if("__now").alias("n_current"),
         F.coalesce(F.sum("__pos"), F.lit(0)).alias("pos"),
-        *[F.count_if(F.col("__block") == i).alias(f"b{i}") for i in range(blocks.count)],
+        *[F.expr(f"count_if(__block = {i}) AS b{i}") for i in range(blocks.count)],
     )
 
 
 def with_canonical(counts: DataFrame) -> DataFrame:
     """Counts by canonical level, (feature, level, ...), with how many raw values stand behind it in each counter."""
     own = [c for c in counts.columns if c not in ("feature", "value")]
-    return counts.withColumn("level", canonical_category(F.col("value"))).groupBy("feature", "level").agg(*[F.sum(c).alias(c) for c in own])
+    return counts.withColumn("level", canonical_category(F.col("value"))).groupBy("feature", "level").agg(*[F.expr(f"sum({c}) AS {c}") for c in own])
 
 
 def value_ranges(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
     """counts with the number of the value range that each non-null value is in."""
-    at = F.array(*[F.lit((i + 1) / ranges) for i in range(ranges - 1)])
-    edges = counts.where("value IS NOT NULL").groupBy("feature").agg(F.array_distinct(F.percentile_approx("value", at, F.lit(2000))).alias("edges"))
-    return counts.where("value IS NOT NULL").join(F.broadcast(edges), "feature").withColumn("range", F.size(F.filter("edges", lambda e: e < F.col("value")))).drop("edges")
+    at = ", ".join(f"{(i + 1) / ranges!r}D" for i in range(ranges - 1))
+    edges = counts.where("value IS NOT NULL").groupBy("feature").agg(F.expr(f"array_distinct(percentile_approx(value, array({at}), 2000)) AS edges"))
+    return counts.where("value IS NOT NULL").join(F.broadcast(edges), "feature").withColumn("range", F.expr("size(filter(edges, e -> e < value))")).drop("edges")
 
 
 def cumulative(counts: DataFrame, counters: list[str], ranges: int = RANGES) -> DataFrame:
     """Adds c_<counter> (up to and with the value) and t_<counter> (total) for non-null values, by feature."""
     counts = hold(counts)
     ranged = value_ranges(counts, ranges) if ranges > 1 else counts.where("value IS NOT NULL").withColumn("range", F.lit(0))
-    by_range = ranged.groupBy("feature", "range").agg(*[F.sum(c).alias(f"s_{c}") for c in counters])
-    before, whole = Window.partitionBy("feature").orderBy("range").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("feature")
-    offsets = by_range.select(
-        "feature", "range", *[F.coalesce(F.sum(f"s_{c}").over(before), F.lit(0)).alias(f"o_{c}") for c in counters], *[F.sum(f"s_{c}").over(whole).alias(f"t_{c}") for c in counters]
+    by_range = ranged.groupBy("feature", "range").agg(*[F.expr(f"sum({c}) AS s_{c}") for c in counters])
+    before = "PARTITION BY feature ORDER BY `range` ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    offsets = by_range.selectExpr(
+        "feature", "`range`", *[f"coalesce(sum(s_{c}) OVER ({before}), 0) AS o_{c}" for c in counters], *[f"sum(s_{c}) OVER (PARTITION BY feature) AS t_{c}" for c in counters]
     )
-    inner = Window.partitionBy("feature", "range").orderBy("value")
     joined = ranged.join(offsets, ["feature", "range"])
-    return joined.withColumns({f"c_{c}": F.col(f"o_{c}") + F.sum(c).over(inner) for c in counters}).drop("range", *[f"o_{c}" for c in counters])
+    own = [c for c in ranged.columns if c not in ("feature", "range")]
+    return joined.selectExpr("feature", *[f"`{c}`" for c in own], *[f"t_{c}" for c in counters], *[f"o_{c} + sum({c}) OVER (PARTITION BY feature, `range` ORDER BY value) AS c_{c}" for c in counters])
 
 
 def missing_rates(counts: DataFrame, counters: list[str]) -> DataFrame:
     """(feature, m_<counter>): share of nulls."""
-    rate = lambda c: F.coalesce(F.try_divide(F.sum(F.when(F.col("value").isNull(), F.col(c)).otherwise(0)), F.sum(c)), F.lit(0.0))
-    return counts.groupBy("feature").agg(*[rate(c).alias(f"m_{c}") for c in counters])
+    return counts.groupBy("feature").agg(*[F.expr(f"coalesce(try_divide(sum(CASE WHEN value IS NULL THEN {c} ELSE 0 END), sum({c})), 0D) AS m_{c}") for c in counters])
 
 
 def support(counts: DataFrame, recent: str) -> DataFrame:
     """Distinct raw values (null is none): in training, recent and current rows, and how much of the support is left."""
-    there = lambda c: F.count_if(F.col("value").isNotNull() & (F.col(c) > 0))
+    there = {"unique_values": "n_train", "recent_unique_values": recent, "test_unique_values": "n_current"}
     out = counts.groupBy("feature").agg(
-        there("n_train").alias("unique_values"), there(recent).alias("recent_unique_values"), there("n_current").alias("test_unique_values"),
-        F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n_current"))), F.lit(0)).alias("current_non_missing"),
-    )
-    least = F.greatest(F.lit(1), F.least("recent_unique_values", "current_non_missing"))
-    return out.withColumn("support_retention_ratio", F.least(F.lit(1.0), F.col("test_unique_values") / least))
+        *[F.expr(f"count_if(value IS NOT NULL AND {c} > 0) AS {name}") for name, c in there.items()],
+        F.expr("coalesce(sum(CASE WHEN value IS NOT NULL THEN n_current END), 0) AS current_non_missing"),
+    )
+    return out.withColumn("support_retention_ratio", F.expr("least(1D, test_unique_values / greatest(1, least(recent_unique_values, current_non_missing)))"))
