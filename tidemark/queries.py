@@ -289,10 +289,13 @@ def tiers(frame: DataFrame) -> DataFrame:
 REMAP_SQL = f"""WITH {ORDERS_SQL}, l AS (SELECT side, {RELABELLED} AS v FROM g WHERE side >= 11),
 a AS (SELECT v, count(*) / sum(count(*)) OVER () AS p, row_number() OVER (ORDER BY count(*) DESC, v) AS r FROM l WHERE side = 11 GROUP BY v),
 b AS (SELECT v, count(*) / sum(count(*)) OVER () AS q, row_number() OVER (ORDER BY count(*) DESC, v) AS r FROM l WHERE side = 12 GROUP BY v),
-j AS (SELECT a.v AS reference, b.v AS observed, p, q, r, least(lag(p) OVER (ORDER BY r) - p, lag(q) OVER (ORDER BY r) - q) AS gap FROM a JOIN b USING (r))"""
+j AS (SELECT a.v AS reference, b.v AS observed, p, q, r, least(lag(p) OVER (ORDER BY r) - p, lag(q) OVER (ORDER BY r) - q) AS gap FROM a JOIN b USING (r)),
+u AS (SELECT coalesce((SELECT avg(CAST(v IN (SELECT v FROM a) AS DOUBLE)) FROM l WHERE side = 12), 0.0) AS support,
+  least((SELECT count(*) FROM l WHERE side = 11), (SELECT count(*) FROM l WHERE side = 12)) AS n, (SELECT count(*) FROM a) AS d_r, (SELECT count(*) FROM b) AS d_c)"""
 
 
-@query(REMAP_SQL + """ SELECT 'tier' AS feature, 0.0 AS remap_support, true AS compatible_cardinality, round(0.5 * sum(abs(p - q)), 6) AS frequency_structure_tv, round(min(gap), 6) AS minimum_frequency_gap,
+@query(REMAP_SQL + """ SELECT 'tier' AS feature, round((SELECT CAST(support AS DOUBLE) FROM u), 6) AS remap_support,
+  (SELECT n >= 200 AND d_r BETWEEN 2 AND 25 AND d_r = d_c AND support <= 0.15 FROM u) AS compatible_cardinality, round(0.5 * sum(abs(p - q)), 6) AS frequency_structure_tv, round(min(gap), 6) AS minimum_frequency_gap,
   0.5 * sum(abs(p - q)) <= 0.08 AND min(gap) >= 0.05 AS category_remap_safe,
   round(CASE WHEN 0.5 * sum(abs(p - q)) <= 0.08 AND min(gap) >= 0.05 THEN least(1.0, min(gap) / 0.1) * greatest(0.0, 1 - 0.5 * sum(abs(p - q)) / 0.08) ELSE 0.0 END, 6) AS mapping_confidence FROM j""")
 def remap_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -644,7 +647,7 @@ def _shown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SHOWN_SQL = """k AS (SELECT p_type AS feature, count(*) AS n, round(avg(p_retailprice) / 100, 3) AS severity FROM part GROUP BY p_type),
-s AS (SELECT feature, 'Numeric' AS type, CASE WHEN n % 3 = 0 THEN 'Stable' ELSE 'Changed' END AS status, n / 1000 AS current, 0.01 AS historical, severity, CASE n % 3 WHEN 0 THEN 'Keep' WHEN 1 THEN 'Repair' ELSE 'Drop' END AS action FROM k)"""
+s AS (SELECT feature, 'Numeric' AS type, CASE WHEN n % 3 = 0 THEN 'Stable' ELSE 'Changed' END AS status, n / 1000 AS current, CAST(0.01 AS DOUBLE) AS historical, severity, CASE n % 3 WHEN 0 THEN 'Keep' WHEN 1 THEN 'Repair' ELSE 'Drop' END AS action FROM k)"""
 
 
 @query(f"WITH {SHOWN_SQL} SELECT feature, type, status, round(current, 6) AS current, historical, severity, action FROM s WHERE lower(feature) LIKE '%m%' AND status = 'Changed'")
