@@ -14,6 +14,8 @@ from tidemark.llm.common import free_name, read, spill_table
 
 #: A document whose best language has a lower mean probability is rejected, as are those without a language.
 LEAST_SCORE = 0.3
+#: Documents as similar as this, or more, are near-duplicates.
+SIMILARITY = 0.8
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +32,8 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least doc_id stays."""
-    return simhash.keep_one(docs)
+    """Of each group of near-duplicates (Jaccard similarity of five-word shingles 0.8 or more) the document with the least doc_id stays."""
+    return simhash.keep_one(docs, similarity=SIMILARITY)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -220,6 +220,38 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0 and simhash.keep_one(docs(spark, [])).count() == 0
 
 
+def test_stage_drops_five_word_similarity(spark):
+    """Near copies of a similarity of 0.8 or more go, most of them many bits apart; those below stay."""
+    import corpus_pipeline
+
+    def five(text):
+        w = text.lower().split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    rng = np.random.default_rng(3)
+    texts = []
+    for k in range(30):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+        texts.append(" ".join(words))
+        for edits in (3, 6, 25):
+            other = list(words)
+            for at in rng.choice(300, edits, replace=False):
+                other[at] = f"edit{k}x{at}"
+            texts.append(" ".join(other))
+    texts += [" ".join([*(f"h{i}" for i in range(200)), *(f"own{k}x{j}" for j in range(16))]) for k in range(60)]  # a large group, all alike
+    sets = [five(t) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs(spark, texts), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root)) and 31 < len(set(root)) < len(texts) - 100
+    assert corpus_pipeline.drop_near_duplicates(spark, docs(spark, [None, "", "a b", "A  b", "a c"]), "").count() == 3
+    assert corpus_pipeline.drop_near_duplicates(spark, docs(spark, []), "").count() == 0
+
+
 # ------------------------------------------------------------ language
 
 

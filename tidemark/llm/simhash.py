@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import golay
+from . import golay, similar
 from .common import doc_text, free_name, materialize, spill_table
 from .components import connected_components
 
@@ -162,16 +162,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return one.join(classes(one), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None) -> DataFrame:
     """The rows of docs without near-duplicates: of each component the row with the least id stays (nulls last; of equal ids one).
 
+    Without a similarity, near-duplicates are those of ``near_duplicates``.  With one, they are texts whose five-word
+    shingles have that Jaccard similarity or more (see ``similar``).
+
     Row numbers are frozen in a table of the shared folder, so that a repeated task cannot choose another row.
     """
-    r, f = free_name(docs, "row"), free_name(docs, "fp")
-    frozen = spill_table(docs.withColumn(r, F.monotonically_increasing_id()).withColumn(f, fingerprint_column(F.col(f"`{text_col}`"))), "near-duplicates")
-    one = frozen.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f).alias("fp"), F.col(r).alias("r"))
+    r, f, g = free_name(docs, "row"), free_name(docs, "fp"), free_name(docs, "signature")
+    numbered = docs.withColumn(r, F.monotonically_increasing_id()).withColumn(f, fingerprint_column(F.col(f"`{text_col}`")))
+    if similarity is not None:
+        numbered = numbered.withColumn(g, similar.signature_column(F.col(f"`{text_col}`")))
+    frozen = spill_table(numbered, "near-duplicates")
+    node = F.col(f) if similarity is None else F.col(g)["set_id"]
+    one = frozen.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f).alias("fp"), node.alias("node"), F.col(r).alias("r"))
     order = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "r")
-    best = materialize(one.groupBy("fp").agg(F.min(order).alias("best")))
-    roots = connected_components(links(best)).select(F.col("node").alias("fp"), "root")
-    winners = best.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("best").alias("best")).select(F.col("best.r").alias(r))
+    best = materialize(one.groupBy("node").agg(F.min(order).alias("best"), F.min("fp").alias("fp")))
+    if similarity is None:
+        linked = links(best)
+    else:
+        own = frozen.select(F.col(r).alias("r"), F.col(f"`{text_col}`").alias("text"), F.col(g)["bands"].alias("bands"))
+        nodes = own.join(best.select(F.col("best.r").alias("r"), F.col("node").alias("h")), "r").select("h", "text", "bands")
+        first = materialize(best.groupBy("fp").agg(F.min("node").alias("h")))
+        near = links(first).join(first.select(F.col("fp").alias("u"), F.col("h").alias("a")), "u").join(first.select(F.col("fp").alias("v"), F.col("h").alias("b")), "v")
+        linked = similar.links(nodes, near.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")), similarity)
+    roots = connected_components(linked)
+    winners = best.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("best").alias("best")).select(F.col("best.r").alias(r))
     return frozen.join(winners, r, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
