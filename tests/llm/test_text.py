@@ -325,6 +325,18 @@ def test_blocks_of_a_page():
     assert [b.text for b in html_text.blocks("<p a='>'>y</p>plain")] == ["y", "plain"]
 
 
+def test_blocks_keep_all_text_of_the_body():
+    got = lambda page: [b.text for b in html_text.blocks(page)]
+    assert got("<html><head><title>t</title><meta charset=x><div><p>one</p></div><p>two") == ["one", "two"]
+    assert got("<head><link rel=x>\nplain <b>text</b>") == ["plain text"] and got("<head><a href=x>link</a><p>one") == ["link", "one"]
+    assert got("<head><noscript>hidden</noscript><style>s</style></head><body><p>one") == ["one"]
+    assert got("<p>one <svg viewBox='0'/> two</p><p>three</p><svg><text>s</text></svg>") == ["one two", "three"]
+    assert got("<svg><path d=x><p>one</p><p>two</p><svg><g/></svg><p>three") == ["one", "two", "three"]
+    assert got("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p><p>so <math/> on</p>") == ["Let x=1 be", "so on"]
+    assert got("<p>one <object data=x>two</object> three</p><object><p>four</p>") == ["one two three", "four"]
+    assert got("<article><noscript><p>one</p></noscript><noscript>two</noscript><p>three</p></article>") == ["one", "two", "three"]
+
+
 def test_lstm_gradients():
     model = html_text.BlockLstm(3, 2)
     rng = np.random.default_rng(1)

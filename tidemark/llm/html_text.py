@@ -10,7 +10,8 @@ many kinds (articles with menus, adverts, notices, side bars, forms, comments, f
 wild.  Training is deterministic, runs once for a driver and takes seconds; no row of the input is used for it.
 
 Defined results: null and empty pages give the empty text; pages without a main block too; repeated rows are read each
-for itself; scripts, styles, comments and head elements are no blocks; an empty table gives no rows.
+for itself; scripts, styles, drawings, comments and head elements are no blocks; text of formulas, ``noscript`` and
+``object`` is text like any other; body-level tags and text close an open head; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,10 +27,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # HTML element names by what they do to the flow of text.
-RAW = ("script", "style", "template", "noscript", "svg", "math", "iframe", "object", "title")
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br input".split()
+RAW = ("script", "style", "template", "iframe", "title")
+HEAD_LEVEL = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+#: A tag of these ends an <svg> that was not closed.
+ENDS_SVG = "address article aside blockquote body center div dl dd dt fieldset figure footer form h[1-6] header hr img li main nav ol p pre section span table ul".replace(" ", "|")
+MATH = frozenset(
+    "math mi mo mn ms mtext mrow msup msub msubsup mfrac msqrt mroot mstyle mover munder munderover mtable mtr mtd mpadded mphantom menclose mspace mmultiscripts semantics annotation annotation-xml".split()
 )
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br input object".split()
+) | MATH
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An opening tag of the key closes an open one of the values above it, up to the nearest of BARRIERS.
 CLOSES = {
@@ -41,6 +48,7 @@ BARRIERS = frozenset("html body article section div ul ol dl table td th main as
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<svg>svg)(?=[\s/>])(?:[^>]*/>|[^>]*>(?:(?!</?(?:" + ENDS_SVG + r")(?=[\s/>])|</svg[\s>]).)*(?:</svg\s*>)?)"
     r"""|<(?P<tag>/?[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*+"|'[^']*+')*+)>"""
     r"|<(?P<loose>/?[a-zA-Z][^\s/>]*)[^>]*>"
     r"|<[!?][^>]*>"
@@ -94,16 +102,22 @@ def blocks(page: str | None) -> list[Block]:
     for m in TOKEN.finditer(page or ""):
         kind = m.lastgroup
         if text := m["text"]:
+            if opened and opened[-1][0] == "head" and text.strip():
+                flush()
+                close(len(opened) - 1)
             parts.append(text)
             if anchors:
                 linked += len(text)
             continue
         name = m["tag"] or m["loose"]
         if not name:
-            if kind == "raw" and m["raw"].lower() != "title":
+            if kind == "svg" or kind == "raw" and m["raw"].lower() != "title":
                 parts and parts.append(" ")
             continue
         end, tag = name[0] == "/", name.lstrip("/").lower()
+        if not end and tag not in HEAD_LEVEL and opened and opened[-1][0] == "head":
+            flush()
+            close(len(opened) - 1)
         if tag in INLINE:
             if tag == "br":
                 parts and parts.append(" ")
@@ -114,7 +128,7 @@ def blocks(page: str | None) -> list[Block]:
                         break
                     if opened[i][0] not in INLINE:
                         break
-            elif tag not in VOID:
+            elif tag not in VOID and not (tag in MATH and (m["attrs"] or "").endswith("/")):
                 opened.append((tag, (tag,)))
                 anchors += tag == "a"
             continue
