@@ -106,6 +106,22 @@ def want_ids(library, text):
     return [*library.encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_pack_masks_prompts(spark):
+    """The loss limit binds by a column of prompt lengths."""
+    df = docs(spark, ["one two three four five six seven eight"] * 40).selectExpr("*", "IF(doc_id % 4 = 0, NULL, CAST(doc_id % 4 * 3 AS INT)) AS n_prompt").coalesce(1)
+    limits = packing.Limits(64, 100, 20)
+    rows = packing.pack(df, limits, prompt_col="n_prompt").collect()
+    tokens, loss = defaultdict(int), defaultdict(int)
+    for r in rows:
+        tokens[r.sequence_id] += r.length
+        loss[r.sequence_id] += r.loss_tokens
+        prompt = r.doc_id % 4 * 3
+        assert r.loss_tokens == r.length - min(r.length, max(0, prompt - r.start))
+    assert max(tokens.values()) <= 64 and max(loss.values()) == 20 and max(tokens.values()) > 20
+    total = sum({r.doc_id: r.doc_tokens for r in rows}.values())
+    assert sum(tokens.values()) == total > sum(loss.values())
+
+
 @pytest.mark.parametrize("limits", [packing.Limits(64, 3, 64), packing.Limits(64, 100, 20), packing.Limits(100, 4, 50)])
 def test_packer_keeps_all_three_limits(limits):
     rng = np.random.default_rng(1)

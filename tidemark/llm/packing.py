@@ -17,8 +17,9 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import doc_text, slices
+from .common import free_name, slices
 from .word_ids import default_tokenizer, encoder
 
 SCHEMA = (
@@ -103,8 +104,11 @@ class Packer:
         self.sequence += 1
 
 
-def pack(docs: DataFrame, limits: Limits = Limits(), tokenizer: str | None = None, end_id: int = 1, window: int = 1024, keep_ids: bool = False) -> DataFrame:
-    """A row for each piece; with keep_ids also its ids (array<int>), for writing the sequences themselves."""
+def pack(docs: DataFrame, limits: Limits = Limits(), tokenizer: str | None = None, end_id: int = 1, window: int = 1024, keep_ids: bool = False, prompt_col: str | None = None) -> DataFrame:
+    """A row for each piece; with keep_ids also its ids (array<int>), for writing the sequences themselves.
+
+    prompt_col: a column with how many leading tokens of a row bear no loss; null is none.  Without it all tokens bear loss.
+    """
     path = tokenizer or default_tokenizer()
     schema = SCHEMA + (", ids array<int>" if keep_ids else "")
 
@@ -135,13 +139,16 @@ def pack(docs: DataFrame, limits: Limits = Limits(), tokenizer: str | None = Non
         packer = Packer(place, limits, window, TaskContext.get().partitionId() << 32)
         for batch in batches:
             for part in slices(batch):
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for doc_id, text, prompt in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
                     ids = encode(text) + end
-                    packer.add((doc_id, ids), len(ids) // 4)
+                    packer.add((doc_id, ids), len(ids) // 4, prompt)
                 if len(rows) >= 4096:
                     yield out()
         packer.flush()
         if rows:
             yield out()
 
-    return doc_text(docs).mapInArrow(run, schema)
+    p = free_name(docs, "prompt")
+    prompt = F.lit(0) if prompt_col is None else F.coalesce(F.col(f"`{prompt_col}`"), F.lit(0))
+    one = docs.withColumn(p, prompt.cast("long"))
+    return one.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col(p)).mapInArrow(run, schema)
