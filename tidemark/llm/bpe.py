@@ -8,22 +8,31 @@ carries the end-of-word suffix.  Fragments and words repeat, so workers remember
 Normalization and pre-tokenization are rules of the tokenizer file; words outside the plain alphabet are
 normalized and cut by the library's own components, then encoded here in the same way.
 
+Merges of a short fragment look for the lowest rank again and again; those of a long one keep a heap of pairs over a linked
+list of parts, so that the time grows with the fragment and not with its square.  Only short words are remembered.
+
 Defined results: null text is the empty text (no ids, decoded to the empty text); special tokens inside a text
-give their own ids; repeated rows are rows of their own; an empty table gives no rows.
+give their own ids, however many there are; repeated rows are rows of their own; an empty table gives no rows; a tokenizer
+file with other rules than the known ones is an error.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 from array import array
+from heapq import heapify, heappop, heappush
 from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import doc_text, slices
-from .word_ids import PIECE, PLAIN, Remembered, default_tokenizer, to_byte_chars, words_of
+from .common import bounded_batches, doc_text, slices
+from .word_ids import PIECE, PLAIN, Remembered, check_rules, default_tokenizer, to_byte_chars, words_of
+
+#: Fragments of more parts are merged with a heap.
+LONG = 48
 
 
 class ForcedBoundaryBpe:
@@ -32,11 +41,13 @@ class ForcedBoundaryBpe:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        check_rules(spec)
         model = spec["model"]
         self.suffix: str = model.get("end_of_word_suffix") or ""
         self.vocab: dict[str, int] = model["vocab"]
         self.ranks = {tuple(m) if isinstance(m, list) else tuple(m.split(" ")): i for i, m in enumerate(model["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.cuts = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         self.tokens = {i: t for t, i in [*self.vocab.items(), *self.special.items()]}
         self.inside = self._pairs_inside(self.vocab)
         self.tokenizer = Tokenizer.from_file(path)
@@ -72,6 +83,10 @@ class ForcedBoundaryBpe:
 
     def _by_rank(self, parts: list[str]) -> bytes:
         ranks, none = self.ranks, len(self.ranks)
+        if len(parts) > LONG:
+            parts = self._merge_long(parts)
+            vocab = self.vocab
+            return array("I", [vocab[p] for p in parts if p in vocab]).tobytes()
         order = [ranks.get(p, none) for p in zip(parts, parts[1:], strict=False)]
         while order and (low := min(order)) < none:
             i = order.index(low)
@@ -84,15 +99,44 @@ class ForcedBoundaryBpe:
         vocab = self.vocab
         return array("I", [vocab[p] for p in parts if p in vocab]).tobytes()
 
+    def _merge_long(self, parts: list[str]) -> list[str]:
+        """The parts after all merges, lowest rank first and leftmost of equal ranks.  A heap entry is rank and place in one number."""
+        get, n = self.ranks.get, len(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [r << 40 | i for i, p in enumerate(zip(parts, parts[1:], strict=False)) if (r := get(p)) is not None]
+        heapify(heap)
+        place = (1 << 40) - 1
+        while heap:
+            entry = heappop(heap)
+            i = entry & place
+            j, left = after[i], parts[i]
+            if left is None or j >= n or get((left, parts[j])) != entry >> 40:
+                continue  # one of the two is another part by now
+            left = parts[i] = left + parts[j]
+            parts[j] = None
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (r := get((left, parts[k]))) is not None:
+                    heappush(heap, r << 40 | i)
+            h = before[i]
+            if h >= 0 and (r := get((parts[h], left))) is not None:
+                heappush(heap, r << 40 | h)
+        return [p for p in parts if p is not None]
+
     def _piece(self, piece: str) -> bytes:
         *some, last = self.cut(piece)
         return b"".join([*(self.fragments[f] for f in some), self.final[last]])
 
     def _word(self, word: str) -> bytes:
-        if "<|" in word and any(s in word for s in self.special):
-            at, first = min((word.find(s), s) for s in self.special if s in word)
-            own = array("I", [self.special[first]]).tobytes()
-            return self._word(word[:at]) + own + self._word(word[at + len(first) :])
+        out, at = [], 0
+        for m in self.cuts.finditer(word) if "<|" in word else ():
+            out += [self._plain(word[at : m.start()]), array("I", [self.special[m[0]]]).tobytes()]
+            at = m.end()
+        return b"".join([*out, self._plain(word[at:])]) if out else self._plain(word)
+
+    def _plain(self, word: str) -> bytes:
+        """Ids of a word without special tokens."""
         if PLAIN.fullmatch(word):
             pieces = map(to_byte_chars, PIECE.findall(word.lower()))
         else:
@@ -140,11 +184,11 @@ def decode(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
         one = codec(path)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, column=1):
                 texts = [None if x is None else one.decode(x) for x in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return bounded_batches(encoded).select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
 def digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ tokens, odd white space, other scripts) goes through the library's whole encode(
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from functools import lru_cache
@@ -16,6 +17,19 @@ from functools import lru_cache
 # The contractions of the tokenizer's own split pattern.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 _LETTER = "a-zß-öø-ÿ"
+# The normalizer, the pre-tokenizer and the rest that this module's rules stand for.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": CONTRACTIONS + "|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+    "decoder": None,
+}
 #: Words for which NFC is the identity, lower() acts on single characters and no special token can occur.
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 PIECE = re.compile(f"{CONTRACTIONS}|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9]+")
@@ -23,6 +37,15 @@ PIECE = re.compile(f"{CONTRACTIONS}|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9]+")
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
+def check_rules(spec: dict) -> None:
+    """An error, if a tokenizer file has other rules than those that words are cut by here."""
+    model, added = spec["model"], spec["added_tokens"]
+    plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+    whole = all(t["content"].startswith("<|") and not (t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"]) for t in added)
+    if any(spec.get(k) != v for k, v in RULES.items()) or model["type"] != "BPE" or not plain or not whole:
+        raise ValueError("the tokenizer file has a normalizer, pre-tokenizer, model or added tokens of another kind")
+
+
 def byte_chars() -> list[str]:
     """The printable character that byte-level BPE writes for each byte: itself if visible, else the next free one from 256."""
     visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -38,13 +61,18 @@ def to_byte_chars(piece: str) -> str:
 
 
 class Remembered(dict):
-    """A memo of a function of strings in two generations: at most about 2 * limit entries, recent ones survive."""
+    """A memo of a function of strings in two generations: at most about 2 * limit entries, recent ones survive.
+
+    Strings of more than ``longest`` characters are not kept.
+    """
 
-    def __init__(self, function, limit: int):
+    def __init__(self, function, limit: int, longest: int = 64):
         super().__init__()
-        self.function, self.limit, self.old = function, limit, {}
+        self.function, self.limit, self.longest, self.old = function, limit, longest, {}
 
     def __missing__(self, key):
+        if len(key) > self.longest:
+            return self.function(key)
         value = self.old.get(key)
         if value is None:
             value = self.function(key)
@@ -66,6 +94,8 @@ class WordIds:
     def __init__(self, path: str, words: int = 250_000, pieces: int = 400_000):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            check_rules(json.load(f))
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
