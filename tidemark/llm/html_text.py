@@ -26,6 +26,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches, parts_by_size
+
 # HTML element names by what they do to the flow of text.
 RAW = ("script", "style", "template", "iframe", "title")
 HEAD_LEVEL = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
@@ -418,9 +420,9 @@ def main_text(page: Column, model: BlockLstm | None = None) -> Column:
     def run(pages):
         import pandas as pd
 
-        out: list[str] = []
-        for at in range(0, len(pages), 256):
-            out += main_texts(pages.iloc[at : at + 256].tolist(), one)
+        out, every = [], pages.tolist()
+        for at, to in parts_by_size(every, 256):
+            out += main_texts(every[at:to], one)
         return pd.Series(out, dtype=object)
 
     return run(page)
@@ -428,4 +430,4 @@ def main_text(page: Column, model: BlockLstm | None = None) -> Column:
 
 def extract(pages: DataFrame, model: BlockLstm | None = None) -> DataFrame:
     """page_id, url, text, n_chars: one row for each row of pages."""
-    return pages.select("page_id", "url", main_text(F.col("html"), model).alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    return bounded_batches(pages).select("page_id", "url", main_text(F.col("html"), model).alias("text")).withColumn("n_chars", F.length("text").cast("long"))

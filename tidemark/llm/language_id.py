@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import doc_text
+from .common import bounded_batches, free_name, parts_by_size
 
 HIDDEN, SEGMENT, BATCH = 8, 64, 2048
 UNKNOWN = "und"
@@ -27,8 +27,9 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class TrainingBounds:
-    """Documents of each language, segments of each document, and steps of so many segments."""
+    """Languages, documents of each, segments of each document, and steps of so many segments."""
 
+    languages: int = 512
     documents: int = 400
     segments: int = 8
     steps: int = 300
@@ -92,13 +93,15 @@ class BiGru:
         return self._direction(forward, 0, None if kept is None else kept[0]), self._direction(forward[::-1], 1, None if kept is None else kept[1])
 
     def position_probabilities(self, x: np.ndarray) -> np.ndarray:
-        """x: B x T bytes; L x T x B.  States are below 1 in size, so exp() of what V makes of them needs no shift."""
+        """x: B x T bytes; L x T x B.  States are below 1 in size: exp() needs a shift only where V is large."""
         h0, h1 = self._both(x)
         steps, size, width = h0.shape
         shape = (len(self.c), steps, size)
         y = np.dot(self.V[:width].T, h0.reshape(-1, width).T).reshape(shape)
         y += np.dot(self.V[width:].T, h1.reshape(-1, width).T).reshape(shape)[:, ::-1]
         y += self.c[:, None, None]
+        if float((np.abs(self.V).sum(axis=0) + np.abs(self.c)).max()) > 80:
+            y -= y.max(axis=0)
         np.exp(y, out=y)
         y /= y.sum(axis=0)
         return y
@@ -204,15 +207,17 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, bounds: TrainingBounds = TrainingBounds(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, bytes]]:
     """At most bounds.documents labelled documents of each language, the first by the hash of their id.
 
-    Their number is counted first (without texts); a share of the ids that is expected to hold twice as many is looked
-    at, all of them if that falls short.  What reaches the driver is cut to segments: bounds.documents * languages *
-    bounds.segments * SEGMENT bytes at most.
+    Their number is counted first (without texts); of a language with many, only a share of the hashes that is expected to
+    hold 2.5 times as many is looked at.  What reaches the driver is cut to segments: bounds.documents * languages *
+    bounds.segments * SEGMENT bytes at most.  More than bounds.languages languages are an error.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").alias("l"))
     rows = rows.where(~held_out(F.col("i")) & F.col("l").isNotNull() & F.col("t").isNotNull()).withColumn("h", F.xxhash64(F.col("i"), F.lit(bounds.seed)).bitwiseAND(F.lit((1 << 30) - 1)))
-    counts = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    counts = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).limit(bounds.languages + 1).collect()}
     if not counts:
         return []
+    if len(counts) > bounds.languages:
+        raise ValueError(f"more than {bounds.languages} languages")
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int((1 << 30) * min(1.0, 2.5 * (bounds.documents + 20) / n)))])
     few = rows.where(F.col("h") <= F.element_at(share, F.col("l"))).select("i", "l", "h", F.encode("t", "UTF-8").alias("b"))
     # whole segments spread over the text, the same number from each document
@@ -244,8 +249,8 @@ def predictions(text: Column, model: BiGru | None) -> Column:
         letter, names, scores = _letter(), [UNKNOWN] * len(texts), [0.0] * len(texts)
         if model is not None:
             known = [i for i, t in enumerate(texts) if t is not None and letter.search(t)]
-            for at in range(0, len(known), 256):
-                part = known[at : at + 256]
+            for at, to in parts_by_size([texts.iloc[i] for i in known], 256):
+                part = known[at:to]
                 y = model.document_probabilities([texts.iloc[i].encode() for i in part])
                 for i, p in zip(part, y, strict=True):
                     names[i], scores[i] = model.languages[int(p.argmax())], float(min(1.0, max(0.0, p.max())))
@@ -256,5 +261,12 @@ def predictions(text: Column, model: BiGru | None) -> Column:
 
 def identify(docs: DataFrame, model: BiGru | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred, score: one row for each row of docs."""
-    one = docs.select(F.col(f"`{id_col}`").alias("doc_id"), predictions(F.col(f"`{text_col}`"), model).alias("p"))
+    one = bounded_batches(docs).select(F.col(f"`{id_col}`").alias("doc_id"), predictions(F.col(f"`{text_col}`"), model).alias("p"))
     return one.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "p.lang_pred", "p.score")
+
+
+def keep_recognised(docs: DataFrame, model: BiGru | None, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text has a language, with a mean probability of least_score or more."""
+    p = free_name(docs, "language")
+    judged = bounded_batches(docs).withColumn(p, predictions(F.col(f"`{text_col}`"), model))
+    return judged.where((F.col(p)["lang_pred"] != UNKNOWN) & (F.col(p)["score"] >= least_score)).drop(p)

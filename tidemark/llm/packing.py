@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, slices
+from .common import bounded_batches, free_name, slices
 from .word_ids import default_tokenizer, encoder
 
 SCHEMA = (
@@ -150,5 +150,5 @@ def pack(docs: DataFrame, limits: Limits = Limits(), tokenizer: str | None = Non
 
     p = free_name(docs, "prompt")
     prompt = F.lit(0) if prompt_col is None else F.coalesce(F.col(f"`{prompt_col}`"), F.lit(0))
-    one = docs.withColumn(p, prompt.cast("long"))
+    one = bounded_batches(docs).withColumn(p, prompt.cast("long"))
     return one.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col(p)).mapInArrow(run, schema)

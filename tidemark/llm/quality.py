@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name
+from .common import bounded_batches, free_name
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
@@ -135,7 +135,7 @@ def failure_bits(of: str, rules: tuple[Rule, ...] = RULES) -> Column:
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, the measures, failures (long): one row for each row of docs."""
-    base = docs.select(F.col(f"`{id_col}`").alias("doc_id"), measures(F.col(f"`{text_col}`")).alias("m"))
+    base = bounded_batches(docs).select(F.col(f"`{id_col}`").alias("doc_id"), measures(F.col(f"`{text_col}`")).alias("m"))
     return base.select("doc_id", "m.*", failure_bits("m").alias("failures"))
 
 
@@ -164,5 +164,5 @@ def ablations(kept_ledger: DataFrame, policy: str) -> DataFrame:
 def filter_documents(docs: DataFrame, policy: str, text_col: str = "text") -> DataFrame:
     """The rows that the policy keeps, with their own columns."""
     m, f = free_name(docs, "measures"), free_name(docs, "failures")
-    judged = docs.withColumn(m, measures(F.col(f"`{text_col}`"))).withColumn(f, failure_bits(m))
+    judged = bounded_batches(docs).withColumn(m, measures(F.col(f"`{text_col}`"))).withColumn(f, failure_bits(m))
     return judged.where(F.col(f).bitwiseAND(F.lit(mask(policy))) == 0).drop(m, f)

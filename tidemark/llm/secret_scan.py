@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_text, slices
+from .common import bounded_batches, doc_text, parts_by_size, slices
 
 
 @dataclass(frozen=True)
@@ -170,6 +170,10 @@ def trigrams_of(query) -> set[str]:
     return {query} if isinstance(query, str) else trigrams_of(query[1]) | trigrams_of(query[2])
 
 
+#: Bytes whose trigrams are looked up at once.
+SCANNED = 1 << 20
+
+
 class Scanner:
     def __init__(self, rules: tuple[SecretRule, ...] = RULES):
         self.rules = rules
@@ -187,16 +191,17 @@ class Scanner:
     def postings(self, texts: list[str]) -> dict[int, np.ndarray]:
         """Trigram slot -> sorted numbers of the texts that hold it, letters folded."""
         folded = [t.encode().lower() for t in texts]
-        buffer = np.frombuffer(b"\x00\x00".join(folded), np.uint8)
-        if len(buffer) < 3:
-            return {}
-        code = buffer[:-2].astype(np.int32) << 16
-        code |= buffer[1:-1].astype(np.int32) << 8
-        code |= buffer[2:]
-        slots = self.lookup[code]
-        at = np.flatnonzero(slots)
-        ends = np.cumsum([len(f) + 2 for f in folded])
-        pairs = np.unique(slots[at].astype(np.int64) * len(texts) + np.searchsorted(ends, at, side="right"))
+        buffer, ends = np.frombuffer(b"\x00\x00".join(folded), np.uint8), np.cumsum([len(f) + 2 for f in folded])
+        found = [np.zeros(0, np.int64)]
+        for start in range(0, len(buffer) - 2, SCANNED):
+            part = buffer[start : start + SCANNED + 2]
+            code = part[:-2].astype(np.int32) << 16
+            code |= part[1:-1].astype(np.int32) << 8
+            code |= part[2:]
+            slots = self.lookup[code]
+            at = np.flatnonzero(slots)
+            found.append(np.unique(slots[at].astype(np.int64) * len(texts) + np.searchsorted(ends, at + start, side="right")))
+        pairs = np.unique(np.concatenate(found))
         which = pairs // len(texts)
         return {int(s): pairs[which == s] % len(texts) for s in np.unique(which)}
 
@@ -278,10 +283,11 @@ def redact(docs: DataFrame, text_col: str = "text", rules: tuple[SecretRule, ...
         import pandas as pd
 
         one, out = scanner(rules), []
-        for at in range(0, len(texts), 512):
-            part = texts.iloc[at : at + 512].tolist()
+        every = texts.tolist()
+        for at, to in parts_by_size(every):
+            part = every[at:to]
             found = one.scan([t or "" for t in part])
             out += [t if t is None or not x else redact_text(t, [(rules[k].kind, a, b) for a, k, b in x]) for t, x in zip(part, found, strict=True)]
         return pd.Series(out, dtype=object)
 
-    return docs.withColumn(text_col, run(F.col(f"`{text_col}`")))
+    return bounded_batches(docs).withColumn(text_col, run(F.col(f"`{text_col}`")))
