@@ -104,10 +104,11 @@ class Packer:
         self.sequence += 1
 
 
-def pack(docs: DataFrame, limits: Limits = Limits(), tokenizer: str | None = None, end_id: int = 1, window: int = 1024, keep_ids: bool = False, prompt_col: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, limits: Limits = Limits(), tokenizer: str | None = None, end_id: int = 1, window: int = 1024, keep_ids: bool = False, prompt_col: str | None = None, remembered: int = 250_000) -> DataFrame:
     """A row for each piece; with keep_ids also its ids (array<int>), for writing the sequences themselves.
 
     prompt_col: a column with how many leading tokens of a row bear no loss; null is none.  Without it all tokens bear loss.
+    remembered: words that each worker keeps the ids of (twice as many at most); fewer take less memory and more time.
     """
     path = tokenizer or default_tokenizer()
     schema = SCHEMA + (", ids array<int>" if keep_ids else "")
@@ -118,7 +119,7 @@ def pack(docs: DataFrame, limits: Limits = Limits(), tokenizer: str | None = Non
 
         names = [x.split()[0] for x in SCHEMA.split(", ")]
         types = [pa.int64()] * 7 + [pa.int32(), pa.int64()]
-        end, encode = int(end_id).to_bytes(4, "little"), encoder(path).encode
+        end, encode = int(end_id).to_bytes(4, "little"), encoder(path, remembered).encode
         rows: list[tuple] = []
         own: list = []
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import golay, similar
-from .common import doc_text, free_name, materialize, spill_table
+from .common import bounded_batches, doc_text, free_name, joined_to_few, materialize, spill_table
 from .components import connected_components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -170,23 +170,28 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
     Row numbers are frozen in a table of the shared folder, so that a repeated task cannot choose another row.
     """
-    r, f, g = free_name(docs, "row"), free_name(docs, "fp"), free_name(docs, "signature")
-    numbered = docs.withColumn(r, F.monotonically_increasing_id()).withColumn(f, fingerprint_column(F.col(f"`{text_col}`")))
-    if similarity is not None:
-        numbered = numbered.withColumn(g, similar.signature_column(F.col(f"`{text_col}`")))
-    frozen = spill_table(numbered, "near-duplicates")
-    node = F.col(f) if similarity is None else F.col(g)["set_id"]
-    one = frozen.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f).alias("fp"), node.alias("node"), F.col(r).alias("r"))
+    r, g = free_name(docs, "row"), free_name(docs, "signature")
+    text = F.col(f"`{text_col}`")
+    signature = similar.signature_column(text) if similarity is not None else F.struct(fingerprint_column(text).alias("fp"))
+    frozen = spill_table(bounded_batches(docs).withColumn(r, F.monotonically_increasing_id()).withColumn(g, signature), "near-duplicates")
+    own = F.col(g)
+    one = frozen.select(F.col(f"`{id_col}`").alias("doc_id"), own["fp"].alias("fp"), own["fp" if similarity is None else "set_id"].alias("node"), F.col(r).alias("r"))
     order = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "r")
-    best = materialize(one.groupBy("node").agg(F.min(order).alias("best"), F.min("fp").alias("fp")))
+    best = materialize(one.groupBy("node").agg(F.min(order).alias("best"), F.min("fp").alias("fp"), F.count("*").alias("copies")))
     if similarity is None:
         linked = links(best)
     else:
-        own = frozen.select(F.col(r).alias("r"), F.col(f"`{text_col}`").alias("text"), F.col(g)["bands"].alias("bands"))
-        nodes = own.join(best.select(F.col("best.r").alias("r"), F.col("node").alias("h")), "r").select("h", "text", "bands")
+        ones = best.select(F.col("best.r").alias("at"), F.col("node").alias("h"))
+        nodes = frozen.select(F.col(r).alias("at"), own["size"].alias("size"), own["bands"].alias("bands")).join(ones, "at")
         first = materialize(best.groupBy("fp").agg(F.min("node").alias("h")))
         near = links(first).join(first.select(F.col("fp").alias("u"), F.col("h").alias("a")), "u").join(first.select(F.col("fp").alias("v"), F.col("h").alias("b")), "v")
-        linked = similar.links(nodes, near.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")), similarity)
+        texts = frozen.select(F.col(r).alias("at"), text.alias("text"))
+        linked = similar.links(nodes, texts, near.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")), similarity)
     roots = connected_components(linked)
-    winners = best.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("best").alias("best")).select(F.col("best.r").alias(r))
-    return frozen.join(winners, r, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    placed = best.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    winners = placed.groupBy("root").agg(F.min("best").alias("best"))
+    # rows that go: all of a node but its best one, and the best one too where the component has a better one
+    beaten = placed.join(winners.select("root", F.col("best.r").alias("first")), "root").select("node", F.col("best.r").alias("own"), "first", "copies")
+    beaten = materialize(beaten.where("copies > 1 OR own <> first").select("node", "first"))
+    gone = joined_to_few(one.select("node", "r"), beaten, "node").where("r <> first").select(F.col("r").alias(r))
+    return joined_to_few(frozen, materialize(gone), r, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

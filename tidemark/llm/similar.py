@@ -6,8 +6,14 @@ of 64 bits into segments finds ten differing bits without comparing most pairs.
 similarity s shares a key with probability 1 - (1 - s^ROWS)^BANDS, which is 0.9996 at 0.8.  Every candidate is verified
 by the exact similarity of the two sets, so no link is below the bound.
 
-Equal sets are one node.  In a bucket of many nodes, those with the lowest hashes lead: the others are compared with them,
-and each round twice as many lead, until the bucket is one component or all its open pairs have been compared.
+Words are hashed once (XXH64); a shingle's hash mixes those of its words.
+
+Equal sets are one node.  Each node is compared with the least node that it shares a bucket with.  In buckets that are not
+one component then, the nodes with the lowest hashes lead: the others are compared with them, and each round eight times as
+many lead, until the bucket is one component or all its open pairs have been compared.  Sets are made again from the texts of
+those nodes only that share a bucket; sets whose sizes rule out the similarity are not compared.  For the comparison a shingle
+is the lower half of its hash (two different shingles of a pair of texts with 1,000 each are taken for one another with
+probability 0.0002).
 """
 
 from __future__ import annotations
@@ -18,15 +24,26 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, spill_table
+from .common import joined_to_few, materialize, spill_table
 from .components import connected_components
 
 SHINGLE, SEED, SIMILARITY = 5, 42, 0.8
-BANDS, ROWS, LEADERS = 20, 5, 8
+BANDS, ROWS, LEADERS = 20, 5, 4
+SIGNATURE = "struct<set_id:bigint,size:bigint,fp:bigint,bands:array<bigint>>"
 
 
-def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """Sorted different hashes (unsigned) of the shingles; a text of fewer words is one shingle, an empty one has none."""
+def _odd(n: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Every bit of the result depends on every bit of x."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9FB21C651E98DF25)
+    return x ^ (x >> np.uint64(29))
+
+
+def shingle_hashes(text: str | None, size: int = SHINGLE) -> np.ndarray:
+    """Hashes (unsigned) of the shingles, repeats included; a text of fewer words is one shingle, an empty one has none."""
     from xxhash import xxh64_intdigest
 
     from .simhash import WORD
@@ -34,15 +51,31 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     words = WORD.findall((text or "").encode().lower())
     if not words:
         return np.zeros(0, np.uint64)
-    n = max(1, len(words) - size + 1)
-    return np.unique(np.fromiter((xxh64_intdigest(b" ".join(words[i : i + size]), SEED) for i in range(n)), np.uint64, n))
+    own = np.fromiter((xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+    size = min(size, len(own))
+    out = np.full(len(own) - size + 1, size, np.uint64)
+    for k, times in enumerate(_odd(size, SEED)):
+        out += own[k : len(own) - size + 1 + k] * times
+    return _mixed(out)
+
+
+def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
+    """Sorted different hashes of the shingles."""
+    return np.unique(shingle_hashes(text, size))
+
+
+def majority_bits(hashes: np.ndarray) -> int:
+    """The SimHash fingerprint: a bit is 1 if it is set in over half of the hashes."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 8192):
+        counts += np.unpackbits(hashes[at : at + 8192].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
 @lru_cache(maxsize=1)
 def _constants() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(SEED)
-    one, two, three = (rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1) for n in (BANDS * ROWS, BANDS * ROWS, BANDS * ROWS))
-    return one, two, three.reshape(BANDS, ROWS)
+    one, two, three = np.split(_odd(3 * BANDS * ROWS, SEED), 3)
+    return one[:, None], two[:, None], three.reshape(BANDS, ROWS)
 
 
 def bands(hashes: np.ndarray) -> np.ndarray:
@@ -51,28 +84,31 @@ def bands(hashes: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     times, plus, mix = _constants()
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 1024):
-        mixed = hashes[at : at + 1024, None] * times[None, :] + plus[None, :]
-        np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=0), out=least)
+    for at in range(0, len(hashes), 512):
+        mixed = hashes[None, at : at + 512] * times
+        mixed += plus
+        mixed ^= mixed >> np.uint64(32)
+        np.minimum(least, mixed.min(axis=1), out=least)
     rows = least.reshape(BANDS, ROWS)
     key = ((rows ^ (rows >> np.uint64(29))) * mix).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * mix[0, 0]
     return (key ^ (key >> np.uint64(31))).view(np.int64)
 
 
 def signature_column(text: Column) -> Column:
-    """set_id, a hash of the whole set, and its band keys."""
+    """set_id (a hash of the whole set), its size, the SimHash fingerprint of the shingles, and the band keys."""
 
-    @F.pandas_udf("set_id long, bands array<long>")
+    @F.pandas_udf(SIGNATURE)
     def run(texts):
         import pandas as pd
         from xxhash import xxh64_intdigest
 
-        ids, keys = np.zeros(len(texts), np.uint64), []
+        ids, sizes, fps, keys = np.zeros(len(texts), np.uint64), np.zeros(len(texts), np.int64), np.zeros(len(texts), np.uint64), []
         for k, text in enumerate(texts):  # one set at a time in memory
-            own = shingles(text)
-            ids[k] = xxh64_intdigest(own.tobytes(), SEED)
+            every = shingle_hashes(text)
+            own = np.unique(every)
+            ids[k], sizes[k], fps[k] = xxh64_intdigest(own.tobytes(), SEED), len(own), majority_bits(every)
             keys.append(bands(own))
-        return pd.DataFrame({"set_id": ids.view(np.int64), "bands": keys})
+        return pd.DataFrame({"set_id": ids.view(np.int64), "size": sizes, "fp": fps.view(np.int64), "bands": keys})
 
     return run(text)
 
@@ -82,7 +118,7 @@ def _set_column(text: Column) -> Column:
     def run(texts):
         import pandas as pd
 
-        return pd.Series([shingles(t).tobytes() for t in texts], dtype=object)
+        return pd.Series([np.unique(shingle_hashes(t).astype(np.uint32)).tobytes() for t in texts], dtype=object)
 
     return run(text)
 
@@ -96,7 +132,7 @@ def _similar(a: Column, b: Column, least: float) -> Column:
 
         out = []
         for x, y in zip(left, right, strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
             if min(len(x), len(y)) < least * max(len(x), len(y)):
                 out.append(False)
                 continue
@@ -107,37 +143,42 @@ def _similar(a: Column, b: Column, least: float) -> Column:
     return run(a, b)
 
 
-def links(nodes: DataFrame, more: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def links(nodes: DataFrame, texts: DataFrame, more: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(u, v): verified links, enough to connect all candidates that are linked.
 
-    nodes: (h, text, bands), h different; more: further candidates (u, v).
+    nodes: (h, size, bands, at), h different; texts: (at, text); more: further candidates (u, v).
     """
     keyed = nodes.select("h", F.explode("bands").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = spill_table(keyed.join(buckets, "key"), "members")
-    wanted = members.select("h").union(more.select("u")).union(more.select("v")).distinct()
-    sets = spill_table(nodes.select("h", "text").join(wanted, "h", "left_semi").select("h", _set_column(F.col("text")).alias("s")), "shingles")
+    buckets = materialize(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("h").alias("leader")).where("n > 1"))
+    members = spill_table(joined_to_few(keyed, buckets, "key"), "members")
+    ends = more.select(F.col("u").alias("h")).union(more.select("v")).union(members.select("h")).distinct()
+    wanted = materialize(joined_to_few(nodes.select("h", "at", "size"), materialize(ends), "h"))
+    sets = spill_table(joined_to_few(texts, wanted, "at").select("h", "size", _set_column(F.col("text")).alias("s")), "shingles")
+    members = spill_table(members.join(wanted.select("h", "size"), "h"), "members")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left, right = sets.select(F.col("h").alias("u"), F.col("s").alias("a")), sets.select(F.col("h").alias("v"), F.col("s").alias("b"))
-        return materialize(pairs.join(left, "u").join(right, "v").where(_similar(F.col("a"), F.col("b"), least)).select("u", "v"))
+        left, right = sets.select(F.col("h").alias("u"), F.col("s").alias("a"), F.col("size").alias("n")), sets.select(F.col("h").alias("v"), F.col("s").alias("b"), F.col("size").alias("m"))
+        fit = F.least("n", "m") >= F.lit(least) * F.greatest("n", "m")
+        return materialize(pairs.join(left, "u").join(right, "v").where(fit).where(_similar(F.col("a"), F.col("b"), least)).select("u", "v"))
 
+    # first, each node with the least leader of its buckets: one candidate for each node at most, however large the bucket
+    first = members.groupBy("h").agg(F.min("leader").alias("u")).where("u < h").select("u", F.col("h").alias("v"))
+    found = verified(first.union(more.select("u", "v")).distinct())
     place = (F.col("h") / F.lit(2.0**64) + 0.5) * F.col("n")  # hashes are even: the number of lower nodes in the bucket, about
-    some = members.withColumns({"place": place, "root": F.col("h")})
-    low, high, found = 0, LEADERS, None
+    some, low, high = members.select("key", "h", "size", "n", place.alias("place")), 0, LEADERS
     while True:
-        lead = (F.col("place") >= low) & (F.col("place") < high)
-        leaders = some.where(lead).select("key", F.col("h").alias("u"), F.col("root").alias("other"))
-        pairs = some.join(leaders, "key").where("u < h AND root <> other").select("u", F.col("h").alias("v"))
-        new = verified((pairs.union(more.select("u", "v")) if found is None else pairs).distinct())
-        found = new if found is None else found.union(new)
-        left = members.where(F.col("n") > high).withColumn("place", place)
-        if left.isEmpty():
-            return found
         roots = connected_components(found).select(F.col("node").alias("h"), "root")
-        left = left.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
-        open_ = left.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-        some = materialize(left.join(open_, "key").select("key", "h", "n", "place", "root"))
+        here = some.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
+        open_ = here.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+        some = materialize(here.join(open_, "key").select("key", "h", "size", "n", "place", "root"))
+        if some.isEmpty():
+            return found
+        lead = (F.col("place") >= low) & (F.col("place") < high)
+        leaders = some.where(lead).select("key", F.col("h").alias("u"), F.col("root").alias("other"), F.col("size").alias("of"))
+        alike = F.least("size", "of") >= F.lit(least) * F.greatest("size", "of")
+        pairs = some.join(leaders, "key").where("u < h AND root <> other").where(alike).select("u", F.col("h").alias("v"))
+        found = found.union(verified(pairs.distinct()))
+        some = some.where(F.col("n") > high).drop("root")
         if some.isEmpty():
             return found
-        low, high = high, 2 * high
+        low, high = high, 8 * high

@@ -123,6 +123,6 @@ def default_tokenizer() -> str:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> WordIds:
+def encoder(path: str, words: int = 250_000) -> WordIds:
     """One for each worker process; it is kept from task to task."""
-    return WordIds(path)
+    return WordIds(path, words, words * 8 // 5)
