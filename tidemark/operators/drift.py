@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import MISSING, finite_or_zero, novelty
 from . import profile as P
-from .held import hold, holding
+from .held import Hold, as_it_is, holding
 
 
 @dataclass(frozen=True)
@@ -74,7 +74,9 @@ def quantile(counter: str, p: float) -> Column:
 
 
 def with_totals(counts: DataFrame, counters: list[str]) -> DataFrame:
-    return counts.selectExpr("*", *[f"sum({c}) OVER (PARTITION BY feature) AS t_{c}" for c in counters])
+    """counts with t_<counter> of their feature; totals are a row for each feature, so they are broadcast."""
+    totals = counts.groupBy("feature").agg(*[F.expr(f"sum({c}) AS t_{c}") for c in counters])
+    return counts.join(F.broadcast(totals), "feature")
 
 
 def adjacent(blocks: P.Blocks) -> list[tuple[str, str]]:
@@ -89,11 +91,12 @@ def counters_of(blocks: P.Blocks) -> list[str]:
     return [f"b{i}" for i in range(blocks.count)] + ["n_current"]
 
 
-def numeric_shift(cumulated: DataFrame, blocks: P.Blocks) -> DataFrame:
-    """(feature, current_shift, historical_max_shift, shifts by adjacent pair)."""
-    pairs = adjacent(blocks)
-    one = cumulated.groupBy("feature").agg(ks_between(recent_counter(blocks), "n_current").alias("current_shift"), *[ks_between(a, b).alias(f"h_{a}") for a, b in pairs])
-    return one.withColumn("historical_max_shift", _greatest([f"h_{a}" for a, _ in pairs]))
+def numeric_shift(counts: DataFrame, blocks: P.Blocks) -> DataFrame:
+    """(feature, current_shift, historical_max_shift, shifts by adjacent pair) of value counts."""
+    one = P.adjacent_gaps(counts, counters_of(blocks))
+    past = [F.col("gaps")[i].alias(f"h_{a}") for i, (a, _) in enumerate(adjacent(blocks))]
+    one = one.select("feature", F.col("gaps")[blocks.count - 1].alias("current_shift"), *past)
+    return one.withColumn("historical_max_shift", _greatest([f"h_{a}" for a, _ in adjacent(blocks)]))
 
 
 def categorical_shift(levels: DataFrame, blocks: P.Blocks) -> DataFrame:
@@ -107,8 +110,8 @@ def categorical_shift(levels: DataFrame, blocks: P.Blocks) -> DataFrame:
     return one.withColumn("historical_max_shift", _greatest([f"h_{a}" for a, _ in pairs]))
 
 
-def rank_correlation_with_target(cumulated: DataFrame) -> DataFrame:
-    """(feature, predictive_strength): |Spearman| of a feature and a 0/1 target, from counts alone.
+def rank_correlation_with_target(cumulated: DataFrame, least: int = 20) -> DataFrame:
+    """(feature, predictive_strength): |Spearman| of a feature and a 0/1 target, from counts alone; 0 for fewer rows than least.
 
     Ranks of a two-valued target are affine in it, so this is the correlation of the feature's average ranks with the
     target; both follow from n_train, its cumulative count and pos.
@@ -118,17 +121,18 @@ def rank_correlation_with_target(cumulated: DataFrame) -> DataFrame:
         F.expr("sum(n_train) AS n"), F.expr("sum(pos) AS p"), F.expr("count(*) AS d"), F.expr("max(value) - min(value) AS width"),
         F.expr(f"sum(pos * {off}) AS cov"), F.expr(f"sum(n_train * {off} * {off}) AS var"),
     )
-    usable = "n >= 20 AND d >= 2 AND width > 1e-12D AND p > 0 AND p < n"
+    usable = f"n >= {least} AND d >= 2 AND width > 1e-12D AND p > 0 AND p < n"
     return one.selectExpr("feature", f"CASE WHEN {usable} THEN abs(cov / n / (sqrt(var / n) * sqrt(p / n * (1 - p / n)))) ELSE 0D END AS predictive_strength")
 
 
 def level_rate_spread(levels: DataFrame, limits: Thresholds = LIMITS) -> DataFrame:
     """(feature, predictive_strength): weighted deviation of the target rate over levels that are frequent enough."""
-    least = F.greatest(F.lit(limits.level_count), F.floor(F.sum("n_train").over(Window.partitionBy("feature")) * limits.level_share))
-    kept = levels.withColumn("least", least).where((F.col("n_train") >= F.col("least")) & (F.col("n_train") > 0)).withColumn("rate", F.col("pos") / F.col("n_train"))
-    centre = F.sum("pos").over(Window.partitionBy("feature")) / F.sum("n_train").over(Window.partitionBy("feature"))
-    one = kept.withColumn("off", F.col("rate") - centre).groupBy("feature").agg(F.count("*").alias("d"), F.sqrt(F.sum(F.col("n_train") * F.col("off") * F.col("off")) / F.sum("n_train")).alias("s"))
-    return one.select("feature", F.when(F.col("d") >= 2, F.col("s")).otherwise(F.lit(0.0)).alias("predictive_strength"))
+    least = F.greatest(F.lit(limits.level_count), F.floor(F.col("t_n_train") * limits.level_share))
+    kept = with_totals(levels.select("feature", "level", "n_train", "pos"), ["n_train"]).where((F.col("n_train") >= least) & (F.col("n_train") > 0))
+    n, p = F.sum("n_train"), F.sum("pos")
+    one = kept.groupBy("feature").agg(F.count("*").alias("d"), (F.sum(F.col("pos") * F.col("pos") / F.col("n_train")) / n - (p / n) * (p / n)).alias("v"))
+    centred = F.when(F.col("d") >= 2, F.sqrt(F.greatest(F.col("v"), F.lit(0.0)))).otherwise(F.lit(0.0))
+    return one.select("feature", centred.alias("predictive_strength"))
 
 
 def known_support(levels: DataFrame, recent: str, missing: bool = True) -> DataFrame:
@@ -138,10 +142,9 @@ def known_support(levels: DataFrame, recent: str, missing: bool = True) -> DataF
     return some.groupBy("feature").agg(F.coalesce(F.try_divide(known, F.sum("n_current")), F.lit(0.0)).alias("known_category_support_ratio"))
 
 
-def representation(cumulated: DataFrame, recent: str, limits: Thresholds = LIMITS, ranges: int = P.RANGES) -> DataFrame:
+def representation(cumulated: DataFrame, recent: str, limits: Thresholds = LIMITS, ranges: int = P.RANGES, hold: Hold = as_it_is) -> DataFrame:
     """Scale and offset evidence: quantile alignment and the shape distance of the standardised values."""
     names = ["q10", "q25", "q50", "q75", "q90"]
-    cumulated = hold(cumulated)
     q = cumulated.groupBy("feature").agg(
         F.expr(f"max(t_{recent}) AS n_r"), F.expr("max(t_n_current) AS n_c"),
         F.expr(f"count_if({recent} > 0) AS d_r"), F.expr("count_if(n_current > 0) AS d_c"),
@@ -154,7 +157,7 @@ def representation(cumulated: DataFrame, recent: str, limits: Thresholds = LIMIT
     std = cumulated.select("feature", "value", recent, "n_current").join(F.broadcast(fit.select("feature", "r_q50", "c_q50", "s_r", "s_c")), "feature")
     z = f"explode(array(struct((value - r_q50) / s_r AS value, {recent} AS a, 0L AS b), struct((value - c_q50) / s_c AS value, 0L AS a, n_current AS b))) AS z"
     counts = std.selectExpr("feature", z).select("feature", "z.*").where("a + b > 0").groupBy("feature", "value").agg(F.expr("sum(a) AS a"), F.expr("sum(b) AS b"))
-    shape = P.cumulative(counts, ["a", "b"], ranges).groupBy("feature").agg(ks_between("a", "b").alias("shape_ks"))
+    shape = P.adjacent_gaps(counts, ["a", "b"], ranges).select("feature", F.col("gaps")[0].alias("shape_ks"))
     ratio, offset = "(s_c / s_r)", "(c_q50 - r_q50)"
     worst = lambda by: f"greatest({', '.join(f'abs(c_{n} {by} - r_{n})' for n in names)}) / s_r"
     out = fit.join(shape, "feature").selectExpr(
@@ -274,19 +277,19 @@ def base_evidence(train: DataFrame, current: DataFrame, numeric: list[str], cate
 
     The value counts are cached (memory, then disk) while the evidence is worked out from them, and freed after.
     """
-    with holding():
-        return frozen(_base_evidence(train, current, numeric, categorical, blocks, target, limits, period))
+    with holding() as hold:
+        return frozen(_base_evidence(train, current, numeric, categorical, blocks, target, limits, period, hold))
 
 
-def _base_evidence(train: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], blocks: P.Blocks, target: str, limits: Thresholds, period: str) -> DataFrame:
+def _base_evidence(train: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], blocks: P.Blocks, target: str, limits: Thresholds, period: str, hold: Hold) -> DataFrame:
     recent, parts = recent_counter(blocks), []
     empty_text = {c: F.expr(f"CAST(NULL AS {'boolean' if c in ('compatible_cardinality', 'category_remap_safe') else 'double'})") for c in CHECKS_TEXT}
     empty_number = {c: F.expr(f"CAST(NULL AS {'boolean' if c.endswith('safe') or c == 'enough_observations' else 'double'})") for c in CHECKS_NUMERIC}
 
     if numeric:
         counts = hold(P.counted(train, current, numeric, True, blocks, target, period))
-        cum = hold(P.cumulative(counts, [*counters_of(blocks), "n_train"]))
-        one = _joined([P.support(counts, recent), missing_shift(counts, blocks), numeric_shift(cum, blocks), rank_correlation_with_target(cum), representation(cum, recent, limits)])
+        cum = hold(P.cumulative(counts.select("feature", "value", recent, "n_current", "n_train", "pos"), [recent, "n_current", "n_train"]))
+        one = _joined([P.support(counts, recent), missing_shift(counts, blocks), numeric_shift(counts, blocks), rank_correlation_with_target(cum), representation(cum, recent, limits, hold=hold)])
         parts.append(
             one.withColumns({"kind": F.lit("numeric"), "known_category_support_ratio": F.lit(1.0), "category_mapping": F.lit(None).cast("map<string,string>"), **empty_text})
         )
@@ -308,21 +311,20 @@ def _base_evidence(train: DataFrame, current: DataFrame, numeric: list[str], cat
 
 
 def average_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """(keys, value, rank): average ranks of the non-null values within keys, from counts; keys become one feature text."""
-    name = F.concat_ws("|", *[F.col(k).cast("string") for k in keys]) if keys else F.lit("all")
-    own = [F.col(k).alias(f"k_{k}") for k in keys]
-    counts = df.where(F.col(value).isNotNull()).groupBy(name.alias("feature"), *own, F.col(value).alias("value")).agg(F.count("*").alias("n"))
+    """(feature, value, rank, of): average ranks of the non-null values; feature is the struct of the keys, null keys included."""
+    name = F.struct(*keys) if keys else F.lit("all")
+    counts = df.where(F.col(value).isNotNull()).groupBy(name.alias("feature"), F.col(value).alias("value")).agg(F.count("*").alias("n"))
     rank = F.col("c_n") - (F.col("n") - 1) / 2
-    return P.cumulative(counts, ["n"]).select(*[F.col(f"k_{k}").alias(k) for k in keys], F.col("value").alias(value), rank.alias("rank"), F.col("t_n").alias("of"))
+    return P.cumulative(counts, ["n"]).select("feature", F.col("value").alias(value), rank.alias("rank"), F.col("t_n").alias("of"))
 
 
 def spearman(df: DataFrame, left: str, right: str, keys: list[str]) -> DataFrame:
-    """(keys, spearman) over pairs with both values finite; 0 for fewer than three pairs or a constant side."""
+    """(keys, spearman) over pairs with both values finite; 0 for fewer than three pairs or a constant side.  Null keys are keys."""
     fine = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
-    pairs = hold(df.where(fine(left) & fine(right)).select(*keys, left, right))
-    a = average_ranks(pairs, keys, left).select(*keys, left, F.col("rank").alias("__a"))
-    b = average_ranks(pairs, keys, right).select(*keys, right, F.col("rank").alias("__b"))
-    ranked = pairs.join(a, [*keys, left]).join(b, [*keys, right])
+    pairs = df.where(fine(left) & fine(right)).select(*keys, (F.struct(*keys) if keys else F.lit("all")).alias("feature_"), left, right)
+    a = average_ranks(pairs, keys, left).select(F.col("feature").alias("feature_"), left, F.col("rank").alias("__a"))
+    b = average_ranks(pairs, keys, right).select(F.col("feature").alias("feature_"), right, F.col("rank").alias("__b"))
+    ranked = pairs.join(a, ["feature_", left]).join(b, ["feature_", right])
     out = ranked.groupBy(*keys).agg(
         F.count("*").alias("n"), F.max(left).alias("l1"), F.min(left).alias("l0"), F.max(right).alias("r1"), F.min(right).alias("r0"),
         F.covar_pop("__a", "__b").alias("cov"), F.stddev_pop("__a").alias("sa"), F.stddev_pop("__b").alias("sb"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import lenient_label
@@ -13,13 +13,14 @@ def average_precision(df: DataFrame, score: str, label: str, keys: tuple[str, ..
     """(keys, average_precision): sum of recall steps times precision over the different scores, highest first.
 
     Scores are counted first; cumulative sums go over ranges of scores, so equal scores are one step and no window holds
-    all rows.  Without a positive row the result is 0.
+    all rows.  Without a positive row the result is 0.  Null keys are keys.
     """
-    name = F.concat_ws("|", F.lit("all"), *[F.col(k).cast("string") for k in keys])
-    counts = df.where(F.col(score).isNotNull()).groupBy(name.alias("feature"), *keys, (-F.col(score)).alias("value")).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("p"))
+    name = F.struct(*keys) if keys else F.lit("all")
+    counts = df.where(F.col(score).isNotNull()).groupBy(name.alias("feature"), (-F.col(score)).alias("value")).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("p"))
     cum = P.cumulative(counts, ["n", "p"])
     step = F.try_divide(F.col("p"), F.col("t_p")) * F.col("c_p") / F.col("c_n")
-    return cum.groupBy(*keys).agg(F.coalesce(F.sum(step), F.lit(0.0)).alias("average_precision"))
+    out = cum.groupBy(*(["feature"] if keys else [])).agg(F.coalesce(F.sum(step), F.lit(0.0)).alias("average_precision"))
+    return out.select(*[F.col("feature")[k].alias(k) for k in keys], "average_precision")
 
 
 def score_violations(predictions: DataFrame, score: str = "probability_score") -> DataFrame:
@@ -63,10 +64,3 @@ def evaluate(predictions: DataFrame, labelled: DataFrame, id_col: str, target: s
 def rows_by_batch(df: DataFrame) -> DataFrame:
     """Rows of each partition: a metric of a running layout."""
     return df.groupBy(F.spark_partition_id().alias("batch")).agg(F.count("*").alias("rows"))
-
-
-def best_first(df: DataFrame, column: str, ties: list[str], k: int) -> DataFrame:
-    return df.orderBy(F.desc(column), *ties).limit(k)
-
-
-__all__ = ["Window", "average_precision", "best_first", "duplicate_ids", "evaluate", "prediction_contract", "rows_by_batch", "score_violations"]

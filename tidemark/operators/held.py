@@ -1,35 +1,36 @@
 """Intermediate tables that several aggregations read: cached (memory, then disk) so that they are computed once.
 
-``hold`` caches a table; ``release`` frees what was held since a mark.  Lost blocks are recomputed from their lineage.
+``with holding() as hold`` gives a function that caches a table; what it cached is freed at the end, so results must be computed
+by then.  Each call owns its tables; lost blocks are recomputed from their lineage.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 
-_HELD: list[DataFrame] = []
+Hold = Callable[[DataFrame], DataFrame]
 
 
-def hold(df: DataFrame) -> DataFrame:
-    if df.is_cached:
-        return df
-    _HELD.append(df.persist())
-    return _HELD[-1]
+def as_it_is(df: DataFrame) -> DataFrame:
+    """No caching: what a plan reads twice is left to Spark's reuse of exchanges."""
+    return df
 
 
-def release(mark: int = 0) -> None:
-    while len(_HELD) > mark:
-        _HELD.pop().unpersist()
+@contextmanager
+def holding() -> Iterator[Hold]:
+    held: list[DataFrame] = []
 
+    def hold(df: DataFrame) -> DataFrame:
+        if df.is_cached:
+            return df
+        held.append(df.persist())
+        return held[-1]
 
-@contextmanager
-def holding() -> Iterator[None]:
-    """Frees at its end what was held inside; results must be computed by then."""
-    mark = len(_HELD)
     try:
-        yield
+        yield hold
     finally:
-        release(mark)
+        for df in reversed(held):
+            df.unpersist()

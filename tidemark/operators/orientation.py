@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import canonical_category, lookup, number, right_closed_bucket
 from . import drift, ranks
-from .held import hold, holding
+from .held import Hold, as_it_is, holding
 from .profile import Blocks, cumulative, long_form
 
 
 @dataclass(frozen=True)
 class OrientationLimits:
-    """anchors: the most that a consensus averages; levels: the most that a categorical anchor may have."""
+    """anchors: the most that a consensus averages; levels: a categorical anchor with more is looked up by a join, not in a literal map.
+
+    pairs: the fewest recent rows that an anchor can be validated on.
+    """
 
     bins: int = 10
     smoothing: float = 200.0
@@ -27,6 +30,7 @@ class OrientationLimits:
     anchors: int = 32
     rank_distinct: int = 10
     levels: int = 10_000
+    pairs: int = 3
 
 
 def _smoothed(total: Column, n: Column, rate: Column, smoothing: float) -> Column:
@@ -61,7 +65,10 @@ def category_label_rates(reference: DataFrame, features: list[str], target: str,
 
 @dataclass(frozen=True)
 class Anchor:
-    """A frozen lookup of one feature, with centre and spread of its scores over the recent rows."""
+    """A frozen lookup of one feature, with centre and spread of its scores over the recent rows.
+
+    table: (level, rate) of a categorical feature with many levels; ``looked_up`` joins it to the rows that are scored.
+    """
 
     feature: str
     inner: tuple[float, ...] | None
@@ -70,8 +77,15 @@ class Anchor:
     validation: float = 0.0
     centre: float = 0.0
     spread: float = 1.0
+    table: DataFrame | None = None
+
+    @property
+    def joined(self) -> str:
+        return f"__rate_{self.feature}"
 
     def score(self) -> Column:
+        if self.table is not None:
+            return F.coalesce(F.col(f"`{self.joined}`"), F.lit(self.default))
         if self.inner is not None:
             v = number(F.col(f"`{self.feature}`"))
             inner = F.array(*[F.lit(float(e)) for e in self.inner])
@@ -83,8 +97,17 @@ class Anchor:
         return (self.score() - F.lit(self.centre)) / F.lit(self.spread)
 
 
+def looked_up(rows: DataFrame, anchors: list[Anchor]) -> DataFrame:
+    """rows with the rates of those anchors that are tables."""
+    for a in anchors:
+        if a.table is not None:
+            table = a.table.select(F.col("level").alias("__level"), F.col("rate").alias(a.joined))
+            rows = rows.join(table, canonical_category(F.col(f"`{a.feature}`")) == F.col("__level"), "left").drop("__level")
+    return rows
+
+
 def profiles(reference: DataFrame, numeric: list[str], categorical: list[str], target: str, limits: OrientationLimits = OrientationLimits()) -> list[Anchor]:
-    """Frozen label-rate lookups of all features given; bounded by buckets, or by limits.levels levels."""
+    """Frozen label-rate lookups of all features given: literal maps up to limits.levels levels, tables beyond."""
     g = reference.agg(F.avg(target)).first()[0] or 0.0
     out = []
     if numeric:
@@ -95,11 +118,11 @@ def profiles(reference: DataFrame, numeric: list[str], categorical: list[str], t
         out += [Anchor(f, inner[f], rates.get(f, {}), g) for f in numeric if f in inner]
     if categorical:
         table = category_label_rates(reference, categorical, target, limits)
-        small = table.groupBy("feature").agg(F.count("*").alias("levels")).where(F.col("levels") <= limits.levels).select("feature")
+        size = {r.feature: r.levels for r in table.groupBy("feature").agg(F.count("*").alias("levels")).collect()}
         rates = {}
-        for r in table.join(F.broadcast(small), "feature").collect():
+        for r in table.where(F.col("feature").isin([f for f, n in size.items() if n <= limits.levels])).collect():
             rates.setdefault(r.feature, {})[r.level] = r.rate
-        out += [Anchor(f, None, rates[f], g) for f in categorical if f in rates]
+        out += [Anchor(f, None, rates.get(f, {}), g, table=None if f in rates else table.where(F.col("feature") == f)) for f in categorical if f in size]
     return out
 
 
@@ -113,14 +136,14 @@ def validated(recent: DataFrame, candidates: list[Anchor], target: str, order: l
     if not candidates:
         return []
     pairs = F.array(*[F.struct(F.lit(a.feature).alias("feature"), a.score().alias("value")) for a in candidates])
-    long = recent.select(F.col(target).alias("__y"), F.explode(pairs).alias("p")).select("__y", "p.*")
+    long = looked_up(recent, candidates).select(F.col(target).alias("__y"), F.explode(pairs).alias("p")).select("__y", "p.*")
     counts = long.groupBy("feature", "value").agg(F.count("*").alias("n_train"), F.sum("__y").alias("pos"))
-    strength = drift.rank_correlation_with_target(cumulative(counts, ["n_train"]))
+    strength = drift.rank_correlation_with_target(cumulative(counts, ["n_train"]), limits.pairs)
     at = counts.groupBy("feature").agg((F.sum(F.col("value") * F.col("n_train")) / F.sum("n_train")).alias("centre"))
     spread = counts.join(F.broadcast(at), "feature").groupBy("feature", "centre").agg(F.sqrt(F.sum(F.col("n_train") * (F.col("value") - F.col("centre")) ** 2) / F.sum("n_train")).alias("spread"))
     rows = {r.feature: r for r in strength.join(spread, "feature").collect()}
     good = [
-        Anchor(a.feature, a.inner, a.rates, a.default, r.predictive_strength, r.centre, r.spread)
+        replace(a, validation=r.predictive_strength, centre=r.centre, spread=r.spread)
         for a in candidates
         if (r := rows.get(a.feature)) and r.predictive_strength >= limits.validation and r.spread > limits.spread
     ]
@@ -134,22 +157,22 @@ def consensus(anchors: list[Anchor]) -> Column:
     return total / len(anchors)
 
 
-def direction(rows: DataFrame, features: list[str], anchors: list[Anchor], period: str = "period_idx") -> DataFrame:
+def direction(rows: DataFrame, features: list[str], anchors: list[Anchor], period: str = "period_idx", hold: Hold = as_it_is) -> DataFrame:
     """(feature, spearman) of the rank within the period and the consensus."""
-    long = long_form(rows.withColumn("__consensus", consensus(anchors)), [period, "__consensus"], features, True).where("value IS NOT NULL")
+    long = long_form(looked_up(rows, anchors).withColumn("__consensus", consensus(anchors)), [period, "__consensus"], features, True).where("value IS NOT NULL")
     long = hold(long)
-    table = ranks.percentile_ranks(long, ["feature", period]).drop("n")
+    table = ranks.percentile_ranks(long, ["feature", period]).select("feature", period, "value", "percentile")
     return drift.spearman(long.join(table, ["feature", period, "value"]), "percentile", "__consensus", ["feature"])
 
 
 def add_orientation(evidence: DataFrame, train: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], blocks: Blocks, target: str, limits: OrientationLimits = OrientationLimits(), period: str = "period_idx") -> DataFrame:
     """evidence with orientation_train, orientation_test and orientation_anchor_count; zeros where nothing is under review."""
     zero = {"orientation_train": F.lit(0.0), "orientation_test": F.lit(0.0), "orientation_anchor_count": F.lit(0)}
-    with holding():
-        return _add_orientation(evidence, train, current, numeric, categorical, blocks, target, limits, period, zero)
+    with holding() as hold:
+        return _add_orientation(evidence, train, current, numeric, categorical, blocks, target, limits, period, zero, hold)
 
 
-def _add_orientation(evidence: DataFrame, train: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], blocks: Blocks, target: str, limits: OrientationLimits, period: str, zero: dict) -> DataFrame:
+def _add_orientation(evidence: DataFrame, train: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], blocks: Blocks, target: str, limits: OrientationLimits, period: str, zero: dict, hold: Hold) -> DataFrame:
     review = evidence.where(F.col("action") == drift.REVIEW_NOVEL).select("feature", "kind", "unique_values").collect()
     if not review:
         return evidence.withColumns(zero)
@@ -162,8 +185,8 @@ def _add_orientation(evidence: DataFrame, train: DataFrame, current: DataFrame,
     turned = [r.feature for r in review if r.kind == "numeric" and r.unique_values >= limits.rank_distinct]
     if n < limits.least_anchors or not turned:
         return evidence.withColumns(zero | {"orientation_anchor_count": F.when(F.col("action") == drift.REVIEW_NOVEL, F.lit(n)).otherwise(F.lit(0))})
-    a = direction(recent, turned, anchors, period).withColumnRenamed("spearman", "orientation_train")
-    b = direction(current, turned, anchors, period).withColumnRenamed("spearman", "orientation_test")
+    a = direction(recent, turned, anchors, period, hold).withColumnRenamed("spearman", "orientation_train")
+    b = direction(current, turned, anchors, period, hold).withColumnRenamed("spearman", "orientation_test")
     counted = F.when(F.col("action") == drift.REVIEW_NOVEL, F.lit(n)).otherwise(F.lit(0))
     out = evidence.join(a, "feature", "left").join(b, "feature", "left")
     either = {c: F.coalesce(c, F.lit(0.0)) for c in ("orientation_train", "orientation_test")}

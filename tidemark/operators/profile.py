@@ -1,8 +1,8 @@
 """Profiles: every value of every feature with its counts by history block.
 
 One aggregation by (feature, value) feeds shift, support, missingness, quantiles and rank correlation; no operator
-looks at the rows again.  Cumulative counts use windows over (feature, range of values): ranges come from approximate
-quantiles of each feature and their totals are summed before, so no window holds a whole feature.
+looks at the rows again.  Cumulative counts use windows over (feature, range of values); the totals of ranges are summed
+before, so no window holds a whole feature (see ``in_ranges``).
 
 Wide lists of counters are SQL text: each Column operation costs calls to the JVM, a text costs one.
 """
@@ -13,12 +13,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import canonical_category, number
-from .held import hold
 
-#: Value ranges of a feature for cumulative counts, and periods that a driver-side block list may have.
-RANGES, MOST_PERIODS = 32, 4096
+#: Value ranges of an octave for cumulative counts, and periods that a driver-side block list may have.
+RANGES, MOST_PERIODS = 64, 4096
 
 
 @dataclass(frozen=True)
@@ -99,27 +99,65 @@ def with_canonical(counts: DataFrame) -> DataFrame:
     return counts.withColumn("level", canonical_category(F.col("value"))).groupBy("feature", "level").agg(*[F.expr(f"sum({c}) AS {c}") for c in own])
 
 
-def value_ranges(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
-    """counts with the number of the value range that each non-null value is in."""
-    at = ", ".join(f"{(i + 1) / ranges!r}D" for i in range(ranges - 1))
-    edges = counts.where("value IS NOT NULL").groupBy("feature").agg(F.expr(f"array_distinct(percentile_approx(value, array({at}), 2000)) AS edges"))
-    return counts.where("value IS NOT NULL").join(F.broadcast(edges), "feature").withColumn("range", F.expr("size(filter(edges, e -> e < value))")).drop("edges")
+FINITE = "CASE WHEN abs(value) < double('infinity') THEN value END"
+
+
+def _range_of(ranges: int) -> str:
+    """SQL: the range of a value by its place u between low and high (halves of the ends); so many ranges in each octave of u."""
+    u = "least(1D, greatest(0D, coalesce(try_divide(value / 2 - low, high - low), 0D)))"
+    return f"CASE WHEN {u} <= 0 THEN 0 ELSE {ranges} * (51 + greatest(floor(log2({u})), -50)) + floor({ranges} * ({u} / pow(2D, greatest(floor(log2({u})), -50)) - 1)) END"
+
+
+def in_ranges(counts: DataFrame, counters: list[str], ranges: int = RANGES) -> DataFrame:
+    """Non-null values with the number of the value range that each is in, and the feature's totals t_<counter>.
+
+    A value's place between the feature's least and greatest finite value, a number of [0, 1], has so many ranges in each
+    octave.  Least, greatest and totals are exact whatever the order of rows, so a repeated task finds the same ranges.  They
+    are a row for each feature; names of features are as many as a table has columns, so that rows by name are broadcast.
+    """
+    some = counts.where("value IS NOT NULL")
+    ends = some.groupBy("feature").agg(F.expr(f"min({FINITE}) / 2 AS low"), F.expr(f"max({FINITE}) / 2 AS high"), *[F.expr(f"sum({c}) AS t_{c}") for c in counters])
+    named = isinstance(counts.schema["feature"].dataType, T.StringType)
+    return some.join(F.broadcast(ends) if named else ends, "feature").withColumn("range", F.expr(_range_of(ranges))).drop("low", "high")
 
 
 def cumulative(counts: DataFrame, counters: list[str], ranges: int = RANGES) -> DataFrame:
-    """Adds c_<counter> (up to and with the value) and t_<counter> (total) for non-null values, by feature."""
-    counts = hold(counts)
-    ranged = value_ranges(counts, ranges) if ranges > 1 else counts.where("value IS NOT NULL").withColumn("range", F.lit(0))
+    """Adds c_<counter> (up to and with the value) and t_<counter> (total) for non-null values, by feature.
+
+    ``feature`` can be a struct: nulls in it are values like any other.
+    """
+    ranged = in_ranges(counts, counters, ranges)
     by_range = ranged.groupBy("feature", "range").agg(*[F.expr(f"sum({c}) AS s_{c}") for c in counters])
     before = "PARTITION BY feature ORDER BY `range` ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    offsets = by_range.selectExpr(
-        "feature", "`range`", *[f"coalesce(sum(s_{c}) OVER ({before}), 0) AS o_{c}" for c in counters], *[f"sum(s_{c}) OVER (PARTITION BY feature) AS t_{c}" for c in counters]
-    )
+    offsets = by_range.selectExpr("feature", "`range`", *[f"coalesce(sum(s_{c}) OVER ({before}), 0) AS o_{c}" for c in counters])
     joined = ranged.join(offsets, ["feature", "range"])
-    own = [c for c in ranged.columns if c not in ("feature", "range")]
+    own = [c for c in counts.columns if c != "feature"]
     return joined.selectExpr("feature", *[f"`{c}`" for c in own], *[f"t_{c}" for c in counters], *[f"o_{c} + sum({c}) OVER (PARTITION BY feature, `range` ORDER BY value) AS c_{c}" for c in counters])
 
 
+def adjacent_gaps(counts: DataFrame, counters: list[str], ranges: int = RANGES) -> DataFrame:
+    """(feature, gaps): for each counter but the last the Kolmogorov-Smirnov statistic of it and the next one; 0 if one is empty.
+
+    Long, not wide: each value of a counter stands in the pairs with both neighbours, with its share as weight, positive in
+    one and negative in the other; the statistic is the largest absolute sum of weights up to a value.
+    """
+    sides = ", ".join(f"struct({i} AS side, {c} AS n)" for i, c in enumerate(counters))
+    long = counts.where("value IS NOT NULL").selectExpr("feature", "value", f"explode(filter(array({sides}), s -> s.n > 0)) AS s").select("feature", "value", "s.side", "s.n")
+    each = long.groupBy("feature", "side").agg(F.sum("n").alias("t"), F.expr(f"min({FINITE}) / 2 AS low"), F.expr(f"max({FINITE}) / 2 AS high"))
+    whole = "OVER (PARTITION BY feature)"
+    totals = each.selectExpr("feature", "side", "t", f"min(low) {whole} AS low", f"max(high) {whole} AS high")
+    placed = long.join(F.broadcast(totals), ["feature", "side"]).selectExpr("feature", "side", "value", "n / t AS share", f"{_range_of(ranges)} AS `range`")
+    both = placed.selectExpr("feature", "`range`", "value", "explode(array(struct(side AS pair, share AS w), struct(side - 1 AS pair, -share AS w))) AS p").select("feature", "range", "value", "p.*")
+    both = both.where((F.col("pair") >= 0) & (F.col("pair") < len(counters) - 1))
+    by_range = both.groupBy("feature", "pair", "range").agg(F.sum("w").alias("s"))
+    offsets = by_range.selectExpr("feature", "pair", "`range`", "coalesce(sum(s) OVER (PARTITION BY feature, pair ORDER BY `range` ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0D) AS o")
+    summed = both.join(offsets, ["feature", "pair", "range"]).selectExpr("feature", "pair", "w", "abs(o + sum(w) OVER (PARTITION BY feature, pair, `range` ORDER BY value)) AS gap")
+    most = summed.groupBy("feature", "pair").agg(F.expr("CASE WHEN min(w) < 0 AND max(w) > 0 THEN max(gap) ELSE 0D END AS gap"))
+    most = most.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("pair", "gap"))).alias("m"))
+    gaps = F.transform(F.sequence(F.lit(0), F.lit(len(counters) - 2)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
+    return counts.select("feature").distinct().join(most, "feature", "left").select("feature", gaps.alias("gaps"))
+
+
 def missing_rates(counts: DataFrame, counters: list[str]) -> DataFrame:
     """(feature, m_<counter>): share of nulls."""
     return counts.groupBy("feature").agg(*[F.expr(f"coalesce(try_divide(sum(CASE WHEN value IS NULL THEN {c} ELSE 0 END), sum({c})), 0D) AS m_{c}") for c in counters])

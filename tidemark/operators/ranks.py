@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import POOLED
 from . import profile as P
 from .profile import long_form
+from .sampling import with_ordinal
 
 MOST_KNOTS = 8192
 
 
 def percentile_ranks(long: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    """(keys, value, percentile): average rank of each non-null value within keys over the non-null count.
+    """(keys, value, percentile, n, position, different): average rank of each non-null value within keys over the non-null count.
+
+    position counts the different values of the keys from 0, different is how many there are; null keys are keys.
 
     It comes from counts of different values with cumulative sums over value ranges, so no window holds a whole key.
     """
-    name = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    counts = long.where(F.col(value).isNotNull()).groupBy(name.alias("feature"), *[F.col(k).alias(f"k_{k}") for k in keys], F.col(value).alias("value")).agg(F.count("*").alias("n"))
+    counts = long.where(F.col(value).isNotNull()).groupBy(F.struct(*keys).alias("feature"), F.col(value).alias("value")).agg(F.count("*").alias("n"), F.lit(1).alias("one"))
     rank = F.col("c_n") - (F.col("n") - 1) / 2
-    return P.cumulative(counts, ["n"]).select(*[F.col(f"k_{k}").alias(k) for k in keys], F.col("value").alias(value), (rank / F.col("t_n")).alias("percentile"), "n")
+    return P.cumulative(counts, ["n", "one"]).select(
+        *[F.col("feature")[k].alias(k) for k in keys], F.col("value").alias(value), (rank / F.col("t_n")).alias("percentile"), "n", (F.col("c_one") - 1).alias("position"), F.col("t_one").alias("different")
+    )
 
 
 def with_percentile(df: DataFrame, period: str, feature: str, name: str) -> DataFrame:
@@ -35,9 +39,7 @@ def rank_map_knots(df: DataFrame, features: list[str], period: str = "period_idx
     long = long_form(df, [period], features, True).where("value IS NOT NULL").withColumn("period", F.col(period).cast("string"))
     both = long.select("feature", F.explode(F.array(F.lit(POOLED), F.col("period"))).alias("period"), "value").where("period IS NOT NULL")
     knots = percentile_ranks(both, ["feature", "period"])
-    order = Window.partitionBy("feature", "period").orderBy("value")
-    placed = knots.withColumns({"position": F.row_number().over(order) - 1, "m": F.count("*").over(Window.partitionBy("feature", "period"))})
-    return placed.where((F.col("m") <= most) | is_thinned_position(F.col("position"), F.col("m"), most)).select("feature", "period", "position", "value", "percentile")
+    return knots.where((F.col("different") <= most) | is_thinned_position(F.col("position"), F.col("different"), most)).select("feature", "period", F.col("position").cast("int").alias("position"), "value", "percentile")
 
 
 def is_thinned_position(position: Column, count: Column, most: int) -> Column:
@@ -57,11 +59,16 @@ def empty_map() -> tuple[list[float], list[float]]:
     return [0.0], [0.5]
 
 
-def evenly_spaced(df: DataFrame, keys: list[str], value: str, order: str, most: int = 4096) -> DataFrame:
-    """At most ``most`` non-null values of each key, evenly spaced in row order: positions floor(i * (n - 1) / (most - 1))."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    placed = df.where(F.col(value).isNotNull()).withColumns({"__at": F.row_number().over(w) - 1, "__n": F.count("*").over(Window.partitionBy(*keys))})
+def evenly_spaced(df: DataFrame, keys: list[str], value: str, order: list[str], most: int = 4096) -> DataFrame:
+    """At most ``most`` non-null values of each key, evenly spaced in the given order: positions floor(i * (n - 1) / (most - 1)).
+
+    Rows are numbered over all keys at once (see ``sampling.with_ordinal``); a key's first number and count are aggregated and
+    joined, so no window holds the rows of a key.
+    """
+    numbered = with_ordinal(df.where(F.col(value).isNotNull()), [*keys, *order], "__o")
+    ends = numbered.groupBy(F.struct(*keys).alias("__k")).agg(F.min("__o").alias("__first"), F.count("*").alias("__n"))
+    placed = numbered.withColumn("__k", F.struct(*keys)).join(ends, "__k").withColumn("__at", F.col("__o") - F.col("__first"))
     step = (F.col("__n") - 1) / F.lit(most - 1)
     near = F.floor(F.col("__at") / step)
     hit = F.greatest(*[(F.floor((near + d) * step) == F.col("__at")).cast("int") for d in (-1, 0, 1, 2)]) == 1
-    return placed.where((F.col("__n") <= most) | hit).drop("__at", "__n")
+    return placed.where((F.col("__n") <= most) | hit).drop("__k", "__o", "__first", "__at", "__n")

@@ -42,13 +42,15 @@ def category_shares(long: DataFrame, sides: list[str], most: int = CATEGORIES) -
     level = canonical_category(F.col("value"))
     counts = long.groupBy("feature", level.alias("level")).agg(*[F.count_if(F.col("side") == s).alias(f"n_{s}") for s in sides])
     total = sum((F.col(f"n_{s}") for s in sides[1:]), F.col(f"n_{sides[0]}"))
-    order = Window.partitionBy("feature").orderBy(F.desc(total), "level")
-    ranked = counts.withColumns({"r": F.row_number().over(order), "levels": F.count("*").over(Window.partitionBy("feature"))})
+    whole = counts.groupBy("feature").agg(F.count("*").alias("levels"), *[F.sum(f"n_{s}").alias(f"t_{s}") for s in sides])
     kept = F.when(F.col("levels") > most, F.lit(most - 1)).otherwise(F.lit(most))
-    named = ranked.withColumns({"category": F.when(F.col("r") <= kept, F.col("level")).otherwise(F.lit(OTHER)), "position": F.least(F.col("r"), kept + 1)})
-    cells = named.groupBy("feature", "category", "position").agg(*[F.sum(f"n_{s}").alias(f"n_{s}") for s in sides])
-    whole = Window.partitionBy("feature")
-    return cells.withColumns({f"share_{s}": F.col(f"n_{s}") / F.greatest(F.lit(1), F.sum(f"n_{s}").over(whole)) for s in sides})
+    order = Window.partitionBy("feature").orderBy(F.desc(total), "level")
+    first = counts.withColumn("position", F.row_number().over(order)).where(F.col("position") <= most)  # a group limit: each task passes on so many
+    named = first.join(F.broadcast(whole), "feature").where(F.col("position") <= kept)
+    shown = [*[f"n_{s}" for s in sides], *[f"t_{s}" for s in sides]]
+    rest = named.where("levels > " + str(most)).groupBy("feature").agg(*[(F.max(f"t_{s}") - F.sum(f"n_{s}")).alias(f"n_{s}") for s in sides], *[F.max(f"t_{s}").alias(f"t_{s}") for s in sides])
+    cells = named.select("feature", F.col("level").alias("category"), "position", *shown).unionByName(rest.select("feature", F.lit(OTHER).alias("category"), F.lit(most).alias("position"), *shown))
+    return cells.select("feature", "category", "position", *[f"n_{s}" for s in sides], *[(F.col(f"n_{s}") / F.greatest(F.lit(1), F.col(f"t_{s}"))).alias(f"share_{s}") for s in sides])
 
 
 def feature_table(evidence: DataFrame) -> DataFrame:

@@ -6,11 +6,12 @@ import json
 import os
 import resource
 import time
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import evaluate, report
@@ -42,14 +43,28 @@ def phase_box(title: str, rows: list[tuple[str, object]]) -> str:
 
 
 def write_predictions(scored: DataFrame, path: str, id_col: str) -> int:
-    """Validate and write (id, probability_score) as CSV files; Spark's committer publishes all or nothing."""
-    bad = evaluate.score_violations(scored).first()
-    if bad.bad_scores:
-        raise ValueError(f"{bad.bad_scores} of {bad.row_count} scores are outside [0, 1]")
-    if not bad.row_count:
-        raise ValueError("there is nothing to score")
-    scored.select(id_col, "probability_score").write.mode("overwrite").option("header", True).csv(path)
-    return bad.row_count
+    """Score once, validate and publish (id, probability_score) as CSV files.
+
+    Rows go to a folder beside path and are counted and checked on their way; only a valid table takes path's place.
+    """
+    spark, seen = scored.sparkSession, Observation("scores")
+    s, aside = F.col("probability_score"), f"{path.rstrip('/')}.unchecked-{uuid.uuid4().hex}"
+    bad = F.count_if(s.isNull() | F.isnan(s) | ~s.between(0.0, 1.0))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    here, there = hadoop.Path(aside), hadoop.Path(path)
+    files = there.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        scored.select(id_col, "probability_score").observe(seen, F.count(F.lit(1)).alias("row_count"), bad.alias("bad_scores")).write.option("header", True).csv(aside)
+        found = seen.get
+        if found["bad_scores"]:
+            raise ValueError(f"{found['bad_scores']} of {found['row_count']} scores are outside [0, 1]")
+        if not found["row_count"]:
+            raise ValueError("there is nothing to score")
+        files.delete(there, True)
+        files.rename(here, there)
+    finally:
+        files.delete(here, True)
+    return found["row_count"]
 
 
 def run(spark: SparkSession, train_path: str, current_path: str, out: str, contract: ColumnContract = ColumnContract(), on_phase: Callable[[str, dict], None] | None = None, trees: int = 20) -> dict:

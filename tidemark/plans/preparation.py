@@ -17,7 +17,7 @@ from pyspark.sql.types import DataType
 from ..functions.columns import POOLED, canonical_category, interpolate, lookup, number, yes_no
 from ..operators import orientation, policy, profile, ranks
 from ..operators.drift import LIMITS
-from ..operators.held import holding
+from ..operators.sampling import with_ordinal
 from ..sources.contract import ColumnContract, bad_periods, by_kind, require_columns, require_rows, shared_features, with_period, without_target
 
 #: Levels that a literal code map may have, and knots (over all features and periods) that may be broadcast.
@@ -64,11 +64,11 @@ class PreparationPlan:
 
 
 def category_codes(train: DataFrame, features: list[str]) -> DataFrame:
-    """(feature, level, code): codes count sorted canonical levels from 0; computed from counts by level."""
-    from pyspark.sql import Window
-
+    """(feature, level, code): codes count sorted canonical levels from 0; levels of all features are numbered at once, over ranges."""
     levels = profile.long_form(train, [], features, False).select("feature", canonical_category(F.col("value")).alias("level")).distinct()
-    return levels.withColumn("code", F.row_number().over(Window.partitionBy("feature").orderBy("level")) - 1)
+    numbered = with_ordinal(levels, ["feature", "level"], "__o")
+    first = numbered.groupBy("feature").agg(F.min("__o").alias("__first"))
+    return numbered.join(F.broadcast(first), "feature").select("feature", "level", (F.col("__o") - F.col("__first")).cast("int").alias("code"))
 
 
 def fill_values(train: DataFrame, features: list[str]) -> DataFrame:
@@ -94,11 +94,6 @@ def check_target(train: DataFrame, contract: ColumnContract) -> DataFrame:
 
 def build_plan(train: DataFrame, current: DataFrame, contract: ColumnContract = ColumnContract(), map_knots: int = ranks.MOST_KNOTS) -> PreparationPlan:
     """Validate, detect, decide, freeze."""
-    with holding():
-        return _build_plan(train, current, contract, map_knots)
-
-
-def _build_plan(train: DataFrame, current: DataFrame, contract: ColumnContract, map_knots: int) -> PreparationPlan:
     require_columns(train, contract.all(), "the training table")
     require_columns(current, contract.all()[:2], "the current table")
     require_rows(train, "the training table")

@@ -14,10 +14,11 @@ from pyspark.sql import types as T
 
 from .functions import columns as C
 from .operators import drift, evaluate, orientation, policy, profile, ranks, report, sampling
+from .operators.held import holding
 from .plans import preparation
 from .plans.model import OnceFitted
 from .sources.contract import ColumnContract
-from .sources.frames import LINE_NUMBERS, ORDER_NUMBERS, ORDER_TEXTS, lines_frame, orders_frame, sides, table
+from .sources.frames import LINE_NUMBERS, ORDER_NUMBERS, ORDER_TEXTS, SPLIT, lines_frame, orders_frame, sides, table
 
 FLAGSHIP = "num_ks_history"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,21 +41,21 @@ def rounded(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- SQL that several queries share
+# side: 1 is the current side, 0 the latest history block, -1 the one before, and so on.
 
 ORDERS_SQL = """f AS (
   SELECT o_orderkey AS id, CAST(year(o_orderdate) * 12 + month(o_orderdate) - 1 AS INTEGER) AS p, o_orderdate >= TIMESTAMP '2001-01-01' AS now,
     CAST(o_totalprice + 200.0 * ((o_orderkey * 7919) % 1000) > 300000 AS INTEGER) AS y, o_totalprice, c_acctbal, o_orderpriority, c_mktsegment, n_name
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  WHERE o_orderdate >= TIMESTAMP '1999-01-01' AND o_orderdate < TIMESTAMP '2001-07-01'),
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
 d AS (SELECT p, CAST(floor((dense_rank() OVER (ORDER BY p) - 1) / 2) AS INTEGER) AS b FROM (SELECT DISTINCT p FROM f WHERE NOT now)),
-g AS (SELECT f.*, CASE WHEN now THEN 12 ELSE d.b END AS side FROM f LEFT JOIN d ON f.p = d.p)"""
+g AS (SELECT f.*, CASE WHEN now THEN 1 ELSE d.b - (SELECT max(b) FROM d) END AS side FROM f LEFT JOIN d ON f.p = d.p)"""
 
 LINES_SQL = """f AS (
   SELECT l_orderkey AS id, CAST(year(l_shipdate) * 12 + month(l_shipdate) - 1 AS INTEGER) AS p, l_shipdate >= TIMESTAMP '2001-01-01' AS now,
     CAST(l_returnflag = 'R' AS INTEGER) AS y, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus
-  FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-01-01' AND l_shipdate < TIMESTAMP '2001-07-01'),
+  FROM lineitem),
 d AS (SELECT p, CAST(floor((dense_rank() OVER (ORDER BY p) - 1) / 2) AS INTEGER) AS b FROM (SELECT DISTINCT p FROM f WHERE NOT now)),
-g AS (SELECT f.*, CASE WHEN now THEN 12 ELSE d.b END AS side FROM f LEFT JOIN d ON f.p = d.p)"""
+g AS (SELECT f.*, CASE WHEN now THEN 1 ELSE d.b - (SELECT max(b) FROM d) END AS side FROM f LEFT JOIN d ON f.p = d.p)"""
 
 
 def long_sql(features: list[str], expression: str = "{f}", kind: str = "DOUBLE", source: str = "g") -> str:
@@ -76,8 +77,15 @@ grid AS (SELECT x.feature, x.v, t.side, coalesce(n.c, 0) / t.t AS share FROM (SE
 ks AS (SELECT a.feature, a.side, 0.5 * sum(abs(a.share - b.share)) AS ks FROM grid a JOIN grid b ON a.feature = b.feature AND a.v = b.v AND b.side = a.side + 1 GROUP BY ALL)"""
 
 CANON = "coalesce(nullif(lower(trim(coalesce({f}, ''), chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))), ''), '__missing__')"
-SHIFT_COLUMNS = """feature, round(max(CASE WHEN side = 11 THEN ks END), 6) AS current_shift, round(max(CASE WHEN side < 11 THEN ks END), 6) AS historical_max_shift,
-  round(max(CASE WHEN side = 11 THEN ks END) / (max(CASE WHEN side < 11 THEN ks END) + 0.01), 6) AS novelty_ratio"""
+SHIFT_COLUMNS = """feature, round(max(CASE WHEN side = 0 THEN ks END), 6) AS current_shift, round(max(CASE WHEN side < 0 THEN ks END), 6) AS historical_max_shift,
+  round(max(CASE WHEN side = 0 THEN ks END) / (max(CASE WHEN side < 0 THEN ks END) + 0.01), 6) AS novelty_ratio"""
+
+
+def _numeric_shift(frame: DataFrame, features: list[str]) -> DataFrame:
+    """Shift of numeric features, computed at once: a row for each feature."""
+    counts, blocks = _counts(frame, features, True)
+    with holding() as hold:
+        return drift.frozen(drift.numeric_shift(hold(counts), blocks))
 
 
 def _shift(one: DataFrame) -> DataFrame:
@@ -151,14 +159,12 @@ def dup_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {ORDERS_SQL}, {long_sql(ORDER_NUMBERS)}, {KS_SQL} SELECT {SHIFT_COLUMNS} FROM ks GROUP BY feature")
 def num_ks_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts, blocks = _counts(orders_frame(spark, sf_dir), ORDER_NUMBERS, True)
-    return _shift(drift.numeric_shift(profile.cumulative(counts, drift.counters_of(blocks)), blocks))
+    return _shift(_numeric_shift(orders_frame(spark, sf_dir), ORDER_NUMBERS))
 
 
 @query(f"WITH {LINES_SQL}, {long_sql(LINE_NUMBERS)}, {KS_SQL} SELECT {SHIFT_COLUMNS} FROM ks GROUP BY feature")
 def num_ks_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts, blocks = _counts(lines_frame(spark, sf_dir), LINE_NUMBERS, True)
-    return _shift(drift.numeric_shift(profile.cumulative(counts, drift.counters_of(blocks)), blocks))
+    return _shift(_numeric_shift(lines_frame(spark, sf_dir), LINE_NUMBERS))
 
 
 @query(f"WITH {ORDERS_SQL}, {long_sql(ORDER_TEXTS, CANON, 'VARCHAR')}, {TV_SQL} SELECT {SHIFT_COLUMNS} FROM ks GROUP BY feature")
@@ -167,11 +173,10 @@ def cat_tv_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shift(drift.categorical_shift(profile.with_canonical(counts), blocks))
 
 
-@query(f"""WITH {LINES_SQL}, {long_sql(LINE_NUMBERS)}, {KS_SQL} SELECT feature, CAST(side AS INTEGER) AS position, round(ks, 6) AS shift FROM ks WHERE side < 11""")
+@query(f"""WITH {LINES_SQL}, {long_sql(LINE_NUMBERS)}, {KS_SQL} SELECT feature, CAST(side + (SELECT max(b) FROM d) AS INTEGER) AS position, round(ks, 6) AS shift FROM ks WHERE side < 0""")
 def history_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts, blocks = _counts(lines_frame(spark, sf_dir), LINE_NUMBERS, True)
-    one = drift.numeric_shift(profile.cumulative(counts, drift.counters_of(blocks)), blocks)
-    pairs = F.array(*[F.struct(F.lit(i).alias("position"), F.col(f"h_{a}").alias("shift")) for i, (a, _) in enumerate(drift.adjacent(blocks))])
+    one = _numeric_shift(lines_frame(spark, sf_dir), LINE_NUMBERS)
+    pairs = F.array(*[F.struct(F.lit(i).alias("position"), F.col(h).alias("shift")) for i, h in enumerate(c for c in one.columns if c.startswith("h_"))])
     return rounded(one.select("feature", F.explode(pairs).alias("p")).select("feature", "p.*"))
 
 
@@ -188,8 +193,8 @@ def history_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 k AS (SELECT i FROM range(0, 4096) AS x(i))
 SELECT now, count(*) AS n, round(sum(v), 2) AS total FROM r WHERE n <= 4096 OR pos IN (SELECT CAST(floor(i * (r2.n - 1) / 4095.0) AS BIGINT) FROM k, (SELECT DISTINCT now, n FROM r) r2 WHERE r2.now = r.now) GROUP BY now""")
 def ks_thinned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = lines_frame(spark, sf_dir).select("now", F.col("l_extendedprice").alias("v"), F.struct("l_extendedprice", "id").alias("o"))
-    return ranks.evenly_spaced(ordered, ["now"], "v", "o").groupBy("now").agg(F.count("*").alias("n"), F.round(F.sum("v"), 2).alias("total"))
+    ordered = lines_frame(spark, sf_dir).select("now", F.col("l_extendedprice").alias("v"), "id")
+    return ranks.evenly_spaced(ordered, ["now"], "v", ["v", "id"]).groupBy("now").agg(F.count("*").alias("n"), F.round(F.sum("v"), 2).alias("total"))
 
 
 # ---------------------------------------------------------------- missingness, support, quantiles
@@ -207,14 +212,14 @@ j AS (SELECT a.feature, a.side, abs(a.r - b.r) AS ks FROM m a JOIN m b ON a.feat
 
 
 @query(f"""WITH {ORDERS_SQL}, {long_sql(ORDER_NUMBERS, NULLED)}, {MISSING_SQL}
-SELECT feature, round(max(CASE WHEN side = 11 THEN ks END), 6) AS missing_shift, round(max(CASE WHEN side < 11 THEN ks END), 6) AS historical_missing_shift,
-  round(max(CASE WHEN side = 11 THEN ks END) / (max(CASE WHEN side < 11 THEN ks END) + 0.01), 6) AS missing_novelty_ratio FROM j GROUP BY feature""")
+SELECT feature, round(max(CASE WHEN side = 0 THEN ks END), 6) AS missing_shift, round(max(CASE WHEN side < 0 THEN ks END), 6) AS historical_missing_shift,
+  round(max(CASE WHEN side = 0 THEN ks END) / (max(CASE WHEN side < 0 THEN ks END) + 0.01), 6) AS missing_novelty_ratio FROM j GROUP BY feature""")
 def missing_rates_by_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts, blocks = _counts(nulled(orders_frame(spark, sf_dir), ORDER_NUMBERS), ORDER_NUMBERS, True)
     return rounded(drift.missing_shift(counts, blocks))
 
 
-SUPPORT_SQL = """u AS (SELECT feature, count(DISTINCT CASE WHEN NOT now THEN v END) AS unique_values, count(DISTINCT CASE WHEN side = 11 THEN v END) AS recent_unique_values,
+SUPPORT_SQL = """u AS (SELECT feature, count(DISTINCT CASE WHEN NOT now THEN v END) AS unique_values, count(DISTINCT CASE WHEN side = 0 THEN v END) AS recent_unique_values,
   count(DISTINCT CASE WHEN now THEN v END) AS test_unique_values, count(CASE WHEN now THEN v END) AS current_non_missing FROM l GROUP BY feature)"""
 
 
@@ -238,11 +243,11 @@ def quantile_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _representation_sql(moved: str) -> str:
     return f"""WITH {LINES_SQL}, {long_sql(["l_extendedprice", "l_quantity"], moved)},
-w AS (SELECT feature, side, v FROM l WHERE side >= 11),
-q AS (SELECT feature, quantile_cont(CASE WHEN side = 11 THEN v END, [0.1, 0.25, 0.5, 0.75, 0.9]) AS r, quantile_cont(CASE WHEN side = 12 THEN v END, [0.1, 0.25, 0.5, 0.75, 0.9]) AS c FROM w GROUP BY feature),
+w AS (SELECT feature, side, v FROM l WHERE side >= 0),
+q AS (SELECT feature, quantile_cont(CASE WHEN side = 0 THEN v END, [0.1, 0.25, 0.5, 0.75, 0.9]) AS r, quantile_cont(CASE WHEN side = 1 THEN v END, [0.1, 0.25, 0.5, 0.75, 0.9]) AS c FROM w GROUP BY feature),
 e AS (SELECT feature, r, c, r[4] - r[2] AS sr, c[4] - c[2] AS sc FROM q),
-z AS (SELECT w.feature, side, CASE WHEN side = 11 THEN (v - r[3]) / sr ELSE (v - c[3]) / sc END AS v FROM w JOIN e ON e.feature = w.feature),
-nz AS (SELECT feature, v, count(*) FILTER (side = 11) AS a, count(*) FILTER (side = 12) AS b FROM z GROUP BY ALL),
+z AS (SELECT w.feature, side, CASE WHEN side = 0 THEN (v - r[3]) / sr ELSE (v - c[3]) / sc END AS v FROM w JOIN e ON e.feature = w.feature),
+nz AS (SELECT feature, v, count(*) FILTER (side = 0) AS a, count(*) FILTER (side = 1) AS b FROM z GROUP BY ALL),
 cz AS (SELECT feature, sum(a) OVER x / sum(a) OVER (PARTITION BY feature) - sum(b) OVER x / sum(b) OVER (PARTITION BY feature) AS gap FROM nz WINDOW x AS (PARTITION BY feature ORDER BY v)),
 k AS (SELECT feature, max(abs(gap)) AS shape FROM cz GROUP BY feature)
 SELECT e.feature, round(shape, 6) AS shape_ks, round(sc / sr, 6) AS spread_ratio,
@@ -286,12 +291,12 @@ def tiers(frame: DataFrame) -> DataFrame:
     return frame.withColumn("tier", F.when(F.col("now"), F.concat(F.lit("new_"), tier)).otherwise(tier))
 
 
-REMAP_SQL = f"""WITH {ORDERS_SQL}, l AS (SELECT side, {RELABELLED} AS v FROM g WHERE side >= 11),
-a AS (SELECT v, count(*) / sum(count(*)) OVER () AS p, row_number() OVER (ORDER BY count(*) DESC, v) AS r FROM l WHERE side = 11 GROUP BY v),
-b AS (SELECT v, count(*) / sum(count(*)) OVER () AS q, row_number() OVER (ORDER BY count(*) DESC, v) AS r FROM l WHERE side = 12 GROUP BY v),
+REMAP_SQL = f"""WITH {ORDERS_SQL}, l AS (SELECT side, {RELABELLED} AS v FROM g WHERE side >= 0),
+a AS (SELECT v, count(*) / sum(count(*)) OVER () AS p, row_number() OVER (ORDER BY count(*) DESC, v) AS r FROM l WHERE side = 0 GROUP BY v),
+b AS (SELECT v, count(*) / sum(count(*)) OVER () AS q, row_number() OVER (ORDER BY count(*) DESC, v) AS r FROM l WHERE side = 1 GROUP BY v),
 j AS (SELECT a.v AS reference, b.v AS observed, p, q, r, least(lag(p) OVER (ORDER BY r) - p, lag(q) OVER (ORDER BY r) - q) AS gap FROM a JOIN b USING (r)),
-u AS (SELECT coalesce((SELECT avg(CAST(v IN (SELECT v FROM a) AS DOUBLE)) FROM l WHERE side = 12), 0.0) AS support,
-  least((SELECT count(*) FROM l WHERE side = 11), (SELECT count(*) FROM l WHERE side = 12)) AS n, (SELECT count(*) FROM a) AS d_r, (SELECT count(*) FROM b) AS d_c)"""
+u AS (SELECT coalesce((SELECT avg(CAST(v IN (SELECT v FROM a) AS DOUBLE)) FROM l WHERE side = 1), 0.0) AS support,
+  least((SELECT count(*) FROM l WHERE side = 0), (SELECT count(*) FROM l WHERE side = 1)) AS n, (SELECT count(*) FROM a) AS d_r, (SELECT count(*) FROM b) AS d_c)"""
 
 
 @query(REMAP_SQL + """ SELECT 'tier' AS feature, round((SELECT CAST(support AS DOUBLE) FROM u), 6) AS remap_support,
@@ -311,7 +316,7 @@ def remap_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {ORDERS_SQL}, l AS (SELECT side, CASE WHEN now AND id % 3 = 0 THEN 'x' || c_mktsegment ELSE c_mktsegment END AS v FROM g)
-SELECT 'segment' AS feature, round(avg(CAST(v IN (SELECT v FROM l WHERE side = 11) AS DOUBLE)), 6) AS known_category_support_ratio FROM l WHERE side = 12""")
+SELECT 'segment' AS feature, round(avg(CAST(v IN (SELECT v FROM l WHERE side = 0) AS DOUBLE)), 6) AS known_category_support_ratio FROM l WHERE side = 1""")
 def known_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     strange = F.when(F.col("now") & (F.col("id") % 3 == 0), F.concat(F.lit("x"), "c_mktsegment")).otherwise(F.col("c_mktsegment"))
     counts, blocks = _counts(orders_frame(spark, sf_dir).withColumn("segment", strange), ["segment"], False)
@@ -360,8 +365,8 @@ def scaled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EVIDENCE_SQL = f"""WITH {ORDERS_SQL}, {long_sql(ORDER_NUMBERS, SCALED)}, {KS_SQL}, {MISSING_SQL}, {SUPPORT_SQL}, {STRENGTH_SQL},
-e AS (SELECT feature, max(CASE WHEN side = 11 THEN ks END) AS cur, max(CASE WHEN side < 11 THEN ks END) AS his FROM ks GROUP BY feature),
-mm AS (SELECT feature, max(CASE WHEN side = 11 THEN ks END) AS cur, max(CASE WHEN side < 11 THEN ks END) AS his FROM j GROUP BY feature),
+e AS (SELECT feature, max(CASE WHEN side = 0 THEN ks END) AS cur, max(CASE WHEN side < 0 THEN ks END) AS his FROM ks GROUP BY feature),
+mm AS (SELECT feature, max(CASE WHEN side = 0 THEN ks END) AS cur, max(CASE WHEN side < 0 THEN ks END) AS his FROM j GROUP BY feature),
 ev AS (SELECT e.feature, 'numeric' AS kind, e.cur AS current_shift, e.his AS historical_max_shift, e.cur / (e.his + 0.01) AS novelty_ratio, predictive_strength, unique_values, recent_unique_values, test_unique_values,
     mm.cur AS missing_shift, mm.cur / (mm.his + 0.01) AS missing_novelty,
     e.cur >= 0.10 AND e.cur / (e.his + 0.01) >= 2 AND NOT (mm.cur >= greatest(0.05, 0.5 * e.cur) AND mm.cur / (mm.his + 0.01) >= 2) AS unusual_movement
@@ -530,7 +535,8 @@ def rank_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {ORDERS_SQL}, k AS (SELECT DISTINCT p, o_totalprice AS value, (rank() OVER (PARTITION BY p ORDER BY o_totalprice) + (count(*) OVER (PARTITION BY p, o_totalprice) - 1) / 2.0) / count(*) OVER (PARTITION BY p) AS pct FROM f WHERE now)
-SELECT 'o_totalprice' AS feature, CAST(p AS VARCHAR) AS period, CAST(row_number() OVER (PARTITION BY p ORDER BY value) - 1 AS INTEGER) AS position, round(value, 6) AS value, round(pct, 6) AS percentile FROM k""")
+SELECT 'o_totalprice' AS feature, CAST(p AS VARCHAR) AS period, CAST(pos AS INTEGER) AS position, round(value, 6) AS value, round(pct, 6) AS percentile
+FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY value) - 1 AS pos, count(*) OVER (PARTITION BY p) AS n FROM k) WHERE n <= 8192 OR pos IN (SELECT CAST(round_even(i * (n - 1) / 8191.0, 0) AS BIGINT) FROM range(0, 8192) AS r(i))""")
 def rank_map_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = ranks.rank_map_knots(sides(orders_frame(spark, sf_dir))[1], ["o_totalprice"])
     return rounded(one.where(F.col("period") != C.POOLED))
@@ -571,9 +577,9 @@ def transform_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {ORDERS_SQL}, k AS (SELECT id, (rank() OVER (PARTITION BY p ORDER BY o_totalprice) + (count(*) OVER (PARTITION BY p, o_totalprice) - 1) / 2.0) / count(*) OVER (PARTITION BY p) AS pct FROM f WHERE now)
 SELECT id, round(CAST(1.0 AS FLOAT) - CAST(pct AS FLOAT), 4) AS o_totalprice FROM k""")
 def transform_reverse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Percentiles of the row's own period, reversed.  The maps hold every knot, so they give the ranks themselves."""
+    """Percentiles of the row's own period, reversed.  The maps are not thinned, so they give the ranks themselves."""
     current = sides(orders_frame(spark, sf_dir))[1]
-    maps = {"test": [(r.feature, r.period, r.knots, r.heights) for r in ranks.rank_maps(current, ["o_totalprice"]).collect()]}
+    maps = {"test": [(r.feature, r.period, r.knots, r.heights) for r in ranks.rank_maps(current, ["o_totalprice"], most=preparation.MOST_BROADCAST_KNOTS).collect()]}
     plan = _fixed_plan(features=["o_totalprice"], numeric=["o_totalprice"], fills={"o_totalprice": 0.5}, ranked=["o_totalprice"], reversed=["o_totalprice"], maps=maps)
     return preparation.transform(current, plan, "test", ("id",)).withColumn("o_totalprice", F.round("o_totalprice", 4))
 
@@ -613,7 +619,7 @@ def row_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- report tables
 
 
-@query(f"""WITH {LINES_SQL}, {long_sql(["l_extendedprice", "l_quantity"])}, w AS (SELECT feature, v, now FROM l WHERE side >= 11), e AS (SELECT feature, min(v) AS lo, max(v) AS hi FROM w GROUP BY feature),
+@query(f"""WITH {LINES_SQL}, {long_sql(["l_extendedprice", "l_quantity"])}, w AS (SELECT feature, v, now FROM l WHERE side >= 0), e AS (SELECT feature, min(v) AS lo, max(v) AS hi FROM w GROUP BY feature),
 b AS (SELECT e.feature, i, CASE WHEN i = 20 THEN hi ELSE lo + i * ((hi - lo) / 20) END AS x FROM e, range(0, 21) AS r(i))
 SELECT w.feature, now, CAST(least((SELECT count(*) FROM b WHERE b.feature = w.feature AND b.x <= w.v), 20) - 1 AS INTEGER) AS bin, count(*) AS n FROM w GROUP BY ALL""")
 def hist_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -696,23 +702,23 @@ def prediction_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One fit on the training side, scores of the current one (rows only: the booster is Spark's)."""
+    """One fit on the training side with the default number of trees, scores of the current one (rows only: the booster is Spark's)."""
     train, current = sides(orders_frame(spark, sf_dir))
     plan = preparation.build_plan(train, current, ColumnContract("id", "period_idx", "target"))
-    model = OnceFitted(plan, trees=5).fit(train.withColumn("__target", F.col("target")))
+    model = OnceFitted(plan).fit(train.withColumn("__target", F.col("target")))
     return model.score(current)
 
 
 @query(f"WITH {ORDERS_SQL} SELECT id, round(CAST(o_totalprice / 100.0 AS FLOAT), 3) AS o_totalprice FROM f WHERE now")
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The frozen plan over a stream of the orders table, one micro-batch a file; the rows of the batch projection."""
-    from .streaming.score import transformed_stream
+    from .streaming.score import is_folder, scratch_folder, transformed_stream
 
     plan = _fixed_plan(features=["o_totalprice"], numeric=["o_totalprice"], fills={"o_totalprice": 0.0}, scales={"o_totalprice": 100.0})
     schema = table(spark, sf_dir, "orders").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf_dir}/orders.parq[u]et")
-    rows = stream.where((F.col("o_orderdate") >= "2001-01-01") & (F.col("o_orderdate") < "2001-07-01")).select(F.col("o_orderkey").alias("id"), "o_totalprice")
-    name = "tidemark_stream_score"
-    running = transformed_stream(rows, plan, ()).writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/orders.parquet" if is_folder(spark, f"{sf_dir}/orders.parquet") else f"{sf_dir}/orders.parq[u]et")
+    rows = stream.where(F.col("o_orderdate") >= SPLIT).select(F.col("o_orderkey").alias("id"), "o_totalprice")
+    out = scratch_folder(spark, "stream-score")
+    running = transformed_stream(rows, plan, ()).writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(f"{out}/rows")
     running.awaitTermination()
-    return spark.table(name).withColumn("o_totalprice", F.round("o_totalprice", 3))
+    return spark.read.parquet(f"{out}/rows").withColumn("o_totalprice", F.round("o_totalprice", 3))

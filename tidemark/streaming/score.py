@@ -6,13 +6,29 @@ over event-time windows with a watermark is an extension of the batch profile.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.model import OnceFitted
 from ..plans.preparation import PreparationPlan, transform
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder name below spark.checkpoint.dir, which a cluster must name; one of our own on a single machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{(base or tempfile.mkdtemp(prefix='tidemark-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
+
+
 def transformed_stream(stream: DataFrame, plan: PreparationPlan, keep: tuple[str, ...] = ()) -> DataFrame:
     return transform(stream, plan, "test", (plan.contract.id, *keep))
 
