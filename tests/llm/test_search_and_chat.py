@@ -105,13 +105,18 @@ def test_preferences_equal_plain_python(spark):
     assert preference_chat.format_pairs(frame(0).limit(0), frame(1).limit(0)).count() == 0
 
 
-def test_last_reply_pairs(spark):
-    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a1"), (1, 2, "user", "r"), (1, 3, "assistant", "a2"), (1, 4, "user", "end"), (2, 0, "user", "q"), (2, 1, "assistant", "a"), (3, 0, "user", "alone"), (None, 0, "user", "x")]
+def test_last_reply_sides(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a1"), (1, 2, "user", "r"), (1, 3, "assistant", "a2"), (1, 4, "user", "end"), (2, 0, "user", "q"), (2, 1, "assistant", "a"), (3, 0, "user", "alone"), (None, 0, "user", "x"), (4, None, "assistant", "lost"), (4, 0, "user", "q"), (4, 1, "assistant", "a")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = {r.pair_id: r for r in preference_chat.assemble(preference_chat.format_pairs(*preference_chat.last_reply_pairs(df))).collect()}
-    assert set(got) == {1, 2}
-    assert got[1].chosen == "<|assistant|>\na2<|end|>\n" and got[1].rejected == "<|assistant|>\na1<|end|>\n" and got[1].prompt.endswith("r<|end|>\n")
+    got = {r.pair_id: r for r in preference_chat.assemble(preference_chat.format_sides(preference_chat.last_reply_sides(df))).collect()}
+    assert set(got) == {1, 2, 3, 4}
+    assert got[1].chosen == "<|assistant|>\na2<|end|>\n<|user|>\nend<|end|>\n" and got[1].rejected == "<|assistant|>\na1<|end|>\n<|user|>\nend<|end|>\n" and got[1].prompt.endswith("r<|end|>\n")
+    assert [tuple(x) for x in got[1].chosen_loss] == [(14, 24)]
     assert got[2].rejected == "<|assistant|>\nq<|end|>\n"
+    assert (got[3].prompt, got[3].chosen, got[3].rejected) == ("<|user|>\nalone<|end|>\n", "", "")
+    assert got[4].prompt.startswith("<|assistant|>\nlost<|end|>\n") and got[4].chosen == "<|assistant|>\na<|end|>\n"
+    repeated = preference_chat.format_sides(preference_chat.last_reply_sides(df.union(df))).where("part = 'prompt' AND pair_id = 3").count()
+    assert repeated == 4 and preference_chat.format_sides(preference_chat.last_reply_sides(df.limit(0))).count() == 0
 
 
 def test_pipeline_stages(spark):

@@ -5,9 +5,9 @@ places) is rendered once, as the prompt; what follows on each side is rendered a
 that the model has to write bears loss: the body and end mark of assistant turns in a completion; the prompt, other
 roles and the role headers are masked.
 
-Everything is a DataFrame of turns: no conversation is gathered in one task.  The end of the common prefix is a
-minimum over a full join by (pair, place), folded before its shuffle; offsets come from sums over spans of turns and a
-second sum over the spans, so a conversation with a third of all rows is dealt out too.
+Everything is a DataFrame of turns: no conversation is gathered in one task.  The end of the common prefix is the least place
+at which the digests (SHA-256) of both sides' turns differ; offsets come from sums over spans of turns and a second sum over
+the spans, so a conversation with a third of all rows is dealt out too.
 
 Segments are the operator's output: (pair_id, part, turn, n, text, loss) with part prompt, chosen or rejected, the
 rendered text of a header or a body, its offset in the part, and whether it bears loss.  ``assemble`` joins them to one
@@ -37,29 +37,6 @@ class Template:
     trained_role: str = "assistant"
 
 
-def _numbered(turns: DataFrame, keys: list[str]) -> DataFrame:
-    """A dense place (from 0) in the order of (turn, role, text) within keys.
-
-    Places are counted in spans of turn numbers and the spans summed up, so that no window holds a whole conversation.
-    """
-    span = F.floor(F.col("turn") / SPAN)
-    one = turns.withColumn("span", F.coalesce(span, F.lit(-1)))
-    inner = Window.partitionBy(*keys, "span").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    counted = one.groupBy(*keys, "span").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy(*keys).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    firsts = counted.select(*keys, "span", before.alias("first"))
-    return one.withColumn("k", F.row_number().over(inner) - 1).join(firsts, [*keys, "span"]).withColumn("place", F.col("first") + F.col("k")).drop("span", "k", "first")
-
-
-def common_prefix(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
-    """(pair_id, common): how many leading turns are equal.  Both sides: (pair_id, place, role, text)."""
-    both = chosen.select("pair_id", "place", F.struct("role", "text").alias("c")).join(
-        rejected.select("pair_id", "place", F.struct("role", "text").alias("r")), ["pair_id", "place"], "full"
-    )
-    differs = ~F.col("c").eqNullSafe(F.col("r"))
-    return both.groupBy("pair_id").agg(F.coalesce(F.min(F.when(differs, F.col("place"))), F.max("place") + 1).alias("common"))
-
-
 def _clean(side: DataFrame) -> DataFrame:
     return side.where(F.col("pair_id").isNotNull()).select(
         "pair_id", "turn", F.coalesce("role", F.lit("user")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
@@ -71,36 +48,46 @@ def _filled(template: str, role: Column) -> Column:
     return F.concat(F.lit(before), role, F.lit(after)) if "{role}" in template else F.lit(template)
 
 
-def format_pairs(chosen: DataFrame, rejected: DataFrame, template: Template = Template()) -> DataFrame:
-    """Segments of the pairs.  chosen and rejected: (pair_id, turn, role, text), a row for each turn.
+def format_sides(both: DataFrame, template: Template = Template()) -> DataFrame:
+    """Segments of the pairs of (pair_id, side, turn, role, text), side 0 chosen and 1 rejected, without nulls in role and text.
 
-    Returns pair_id, part, place (of the turn), piece (0 header, 1 body), role, text, start (offset in the part), loss.
+    Texts are shuffled once, by (pair_id, side, span of turns).  Turns are numbered and their sizes summed within spans; what
+    lies before a span is summed over spans, of which a row each is moved.  Turns of both sides meet as digests only.
     """
-    sides = {name: _numbered(_clean(df), ["pair_id"]) for name, df in (("chosen", chosen), ("rejected", rejected))}
-    common = common_prefix(sides["chosen"], sides["rejected"])
-
-    def rows(name: str) -> DataFrame:
-        joined = sides[name].join(common, "pair_id")
-        part = F.when(F.col("place") < F.col("common"), F.lit("prompt")).otherwise(F.lit(name))
-        return joined.select("pair_id", part.alias("part"), "place", "role", "text").where((part != "prompt") | F.lit(name == "chosen"))
-
-    turns = rows("chosen").unionByName(rows("rejected"))
+    keys, size = ["pair_id", "side"], F.length(_filled(template.header, F.col("role"))).cast("long") + F.length(F.concat("text", F.lit(template.end)))
+    spanned = both.select(*keys, F.coalesce(F.floor(F.col("turn") / SPAN), F.lit(-1)).alias("span"), "turn", "role", "text")
+    order = Window.partitionBy(*keys, "span").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    turns = spanned.repartition(*keys, "span").withColumn("size", size).withColumns({"k": F.row_number().over(order) - 1, "before": F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    sums = turns.groupBy(*keys, "span").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
+    earlier = Window.partitionBy(*keys).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = sums.select(*keys, "span", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"), F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("at"))
+    place, start = F.col("first") + F.col("k"), F.col("at") + F.col("before")
+
+    digest = F.sha2(F.concat_ws("\0", F.length("role"), "role", "text"), 256)
+    met = turns.join(spans, [*keys, "span"]).select("pair_id", "side", place.alias("place"), start.alias("start"), digest.alias("digest"))
+    same = met.groupBy("pair_id", "place").agg(F.min("start").alias("start"), (F.count("*") == 2).alias("two"), F.min("digest").alias("a"), F.max("digest").alias("b"))
+    ends = same.where("NOT two OR a <> b").groupBy("pair_id").agg(F.min(F.struct("place", "start")).alias("end"))
+    placed = turns.join(spans.join(ends, "pair_id", "left"), [*keys, "span"])
+    in_prompt = F.col("end").isNull() | (place < F.col("end.place"))
+    part = F.when(in_prompt, F.lit("prompt")).when(F.col("side") == 0, F.lit("chosen")).otherwise(F.lit("rejected"))
+    own = F.when(in_prompt, start).otherwise(start - F.col("end.start"))
+    rows = placed.where(~in_prompt | (F.col("side") == 0)).select("pair_id", part.alias("part"), place.alias("place"), "role", "text", own.alias("at"))
     header, body = _filled(template.header, F.col("role")), F.concat("text", F.lit(template.end))
-    pieces = turns.withColumns({"header_": header, "body_": body, "span": F.floor(F.col("place") / SPAN)})
-    pieces = pieces.withColumn("size", F.length("header_").cast("long") + F.length("body_"))
-    keys = ["pair_id", "part"]
-    spans = pieces.groupBy(*keys, "span").agg(F.sum("size").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy(*keys).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    firsts = spans.select(*keys, "span", before.alias("first"))
-    inner = Window.partitionBy(*keys, "span").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    placed = pieces.withColumn("inner", F.coalesce(F.sum("size").over(inner), F.lit(0))).join(firsts, [*keys, "span"])
-    at = F.col("first") + F.col("inner")
     trained = (F.col("part") != "prompt") & (F.col("role") == template.trained_role)
     each = F.array(
-        F.struct(F.lit(0).alias("piece"), F.col("header_").alias("text"), at.alias("start"), F.lit(False).alias("loss")),
-        F.struct(F.lit(1).alias("piece"), F.col("body_").alias("text"), (at + F.length("header_")).alias("start"), trained.alias("loss")),
+        F.struct(F.lit(0).alias("piece"), header.alias("text"), F.col("at").alias("start"), F.lit(False).alias("loss")),
+        F.struct(F.lit(1).alias("piece"), body.alias("text"), (F.col("at") + F.length(header)).alias("start"), trained.alias("loss")),
     )
-    return placed.select(*keys, "place", "role", F.explode(each).alias("s")).select(*keys, "place", "role", "s.*")
+    return rows.select("pair_id", "part", "place", "role", F.explode(each).alias("s")).select("pair_id", "part", "place", "role", "s.*")
+
+
+def format_pairs(chosen: DataFrame, rejected: DataFrame, template: Template = Template()) -> DataFrame:
+    """Segments of the pairs.  chosen and rejected: (pair_id, turn, role, text), a row for each turn.
+
+    Returns pair_id, part, place (of the turn), role, piece (0 header, 1 body), text, start (offset in the part), loss.
+    """
+    sides = [_clean(df).select("pair_id", F.lit(k).alias("side"), "turn", "role", "text") for k, df in enumerate((chosen, rejected))]
+    return format_sides(sides[0].unionByName(sides[1]), template)
 
 
 def assemble(segments: DataFrame) -> DataFrame:
@@ -121,22 +108,22 @@ def assemble(segments: DataFrame) -> DataFrame:
     )
 
 
-def last_reply_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Chosen and rejected sides from plain conversations, for tables without preferences.
+def last_reply_sides(conversations: DataFrame) -> DataFrame:
+    """Both sides, for ``format_sides``, from plain conversations: for tables without preferences.
 
-    Chosen is the conversation up to its last assistant turn; rejected is the same with that turn's text replaced by the
-    text of the first assistant turn (a stale answer).  With a single assistant turn the stale answer is the first turn's
-    text.  Conversations without an assistant turn give no pair.
+    Chosen is the conversation as it is; rejected is the same with the text of its last assistant turn replaced by the text of
+    the first assistant turn (a stale answer), or of the first turn if there is one assistant turn only.  A conversation without
+    an assistant turn is the same on both sides: a prompt.  All turns stay, those after the last reply and those without a number
+    too; the latter come first and are never the reply that is replaced.
     """
-    one = conversations.select(F.col("conv_id").alias("pair_id"), "turn", F.coalesce("role", F.lit("user")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    one = one.where(F.col("pair_id").isNotNull() & F.col("turn").isNotNull())
-    said = F.col("role") == "assistant"
+    one = _clean(conversations.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text"))
+    said, known = F.col("role") == "assistant", F.col("turn").isNotNull()
     ends = one.groupBy("pair_id").agg(
         F.max(F.when(said, F.col("turn"))).alias("last"),
-        F.min(F.when(said, F.struct("turn", "text"))).alias("early"),
-        F.min(F.struct("turn", "text")).alias("start"),
+        F.min(F.when(said & known, F.struct("turn", "text"))).alias("early"),
+        F.min(F.when(known, F.struct("turn", "text"))).alias("start"),
     )
     ends = ends.where(F.col("last").isNotNull()).select("pair_id", "last", F.when(F.col("early.turn") < F.col("last"), F.col("early.text")).otherwise(F.col("start.text")).alias("stale"))
-    kept = one.join(ends, "pair_id").where(F.col("turn") <= F.col("last"))
     swapped = F.when((F.col("turn") == F.col("last")) & said, F.col("stale")).otherwise(F.col("text"))
-    return kept.select("pair_id", "turn", "role", "text"), kept.select("pair_id", "turn", "role", swapped.alias("text"))
+    sides = F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("text")), F.struct(F.lit(1).alias("side"), swapped.alias("text")))
+    return one.join(ends, "pair_id", "left").select("pair_id", "turn", "role", F.explode(sides).alias("s")).select("pair_id", "s.side", "turn", "role", "s.text")

@@ -85,21 +85,21 @@ def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments of the pairs made from all conversations; texts as digests."""
-    segments = preference_chat.format_pairs(*preference_chat.last_reply_pairs(read(spark, sf_dir, "conversations")))
+    segments = preference_chat.format_sides(preference_chat.last_reply_sides(read(spark, sf_dir, "conversations")))
     text = F.sha2("text", 256).alias("text_sha256")
     return segments.select("pair_id", "part", F.col("place").cast("long").alias("place"), "piece", "role", text, F.col("start").cast("long").alias("start"), F.length("text").cast("long").alias("n_chars"), "loss")
 
 
 OP10_SQL = r"""
-WITH t AS (SELECT conv_id AS pair_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+WITH t AS (SELECT conv_id AS pair_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 e AS (
-  SELECT pair_id, max(CASE WHEN role = 'assistant' THEN turn END) AS last, min(CASE WHEN role = 'assistant' THEN {'turn': turn, 'text': text} END) AS early, min({'turn': turn, 'text': text}) AS start
+  SELECT pair_id, max(CASE WHEN role = 'assistant' THEN turn END) AS last, min(CASE WHEN role = 'assistant' AND turn IS NOT NULL THEN {'turn': turn, 'text': text} END) AS early,
+    min(CASE WHEN turn IS NOT NULL THEN {'turn': turn, 'text': text} END) AS start
   FROM t GROUP BY pair_id),
-k AS (
-  SELECT t.*, last, CASE WHEN early.turn < last THEN early.text ELSE start.text END AS stale FROM t JOIN e USING (pair_id) WHERE last IS NOT NULL AND turn <= last),
-c AS (SELECT pair_id, turn, role, text, row_number() OVER (PARTITION BY pair_id ORDER BY turn, role, text) - 1 AS place FROM k),
+k AS (SELECT t.*, last, CASE WHEN early.turn < last THEN early.text ELSE start.text END AS stale FROM t JOIN e USING (pair_id)),
+c AS (SELECT pair_id, turn, role, text, row_number() OVER (PARTITION BY pair_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place FROM k),
 r AS (
-  SELECT pair_id, turn, role, text, row_number() OVER (PARTITION BY pair_id ORDER BY turn, role, text) - 1 AS place
+  SELECT pair_id, turn, role, text, row_number() OVER (PARTITION BY pair_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place
   FROM (SELECT pair_id, turn, role, CASE WHEN turn = last AND role = 'assistant' THEN stale ELSE text END AS text FROM k)),
 p AS (
   SELECT coalesce(c.pair_id, r.pair_id) AS pair_id,
