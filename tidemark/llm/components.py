@@ -27,16 +27,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select(F.col("m").alias("u"), F.col("u").alias("v"))).where("u <> v").distinct()
 
 
+#: Links of a partition, about; small tables in many partitions would leave many small files on disk.
+LINKS = 100_000
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root): root is the least node of the component; nodes without a link have no row."""
     sign = lambda df: df.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
     edges = materialize(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct())
     before = sign(edges)
     while before[0]:
-        edges = materialize(_small_star(_large_star(edges)))
+        edges = materialize(_small_star(_large_star(edges.coalesce(1 + before[0] // LINKS))))
         after = sign(edges)
         if tuple(after) == tuple(before):
             break
         before = after
+    edges = edges.coalesce(1 + before[0] // LINKS)
     roots = edges.select("u").distinct()
     return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).union(roots.select(F.col("u").alias("node"), F.col("u").alias("root")))

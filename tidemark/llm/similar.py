@@ -9,8 +9,8 @@ by the exact similarity of the two sets, so no link is below the bound.
 Words are hashed once (XXH64); a shingle's hash mixes those of its words.
 
 Equal sets are one node.  Each node is compared with the least node that it shares a bucket with.  In buckets that are not
-one component then, the nodes with the lowest hashes lead: the others are compared with them, and each round eight times as
-many lead, until the bucket is one component or all its open pairs have been compared.  Sets are made again from the texts of
+one component then, the nodes with the lowest hashes lead: the others are compared with them, and each round sixteen times
+as many lead, until the bucket is one component or all its open pairs have been compared, each in the first bucket it shares.  Sets are made again from the texts of
 those nodes only that share a bucket; sets whose sizes rule out the similarity are not compared.  For the comparison a shingle
 is the lower half of its hash (two different shingles of a pair of texts with 1,000 each are taken for one another with
 probability 0.0002).
@@ -28,7 +28,7 @@ from .common import joined_to_few, materialize, spill_table
 from .components import connected_components
 
 SHINGLE, SEED, SIMILARITY = 5, 42, 0.8
-BANDS, ROWS, LEADERS = 20, 5, 4
+BANDS, ROWS, LEADERS = 20, 5, 16
 SIGNATURE = "struct<set_id:bigint,size:bigint,fp:bigint,bands:array<bigint>>"
 
 
@@ -152,9 +152,9 @@ def links(nodes: DataFrame, texts: DataFrame, more: DataFrame, least: float = SI
     buckets = materialize(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("h").alias("leader")).where("n > 1"))
     members = spill_table(joined_to_few(keyed, buckets, "key"), "members")
     ends = more.select(F.col("u").alias("h")).union(more.select("v")).union(members.select("h")).distinct()
-    wanted = materialize(joined_to_few(nodes.select("h", "at", "size"), materialize(ends), "h"))
-    sets = spill_table(joined_to_few(texts, wanted, "at").select("h", "size", _set_column(F.col("text")).alias("s")), "shingles")
-    members = spill_table(members.join(wanted.select("h", "size"), "h"), "members")
+    wanted = materialize(joined_to_few(nodes.select("h", "at", "size", "bands"), materialize(ends), "h"))
+    sets = spill_table(joined_to_few(texts, wanted.select("h", "at", "size"), "at").select("h", "size", _set_column(F.col("text")).alias("s")), "shingles")
+    members = spill_table(members.join(wanted.select("h", "size", "bands"), "h"), "members")
 
     def verified(pairs: DataFrame) -> DataFrame:
         left, right = sets.select(F.col("h").alias("u"), F.col("s").alias("a"), F.col("size").alias("n")), sets.select(F.col("h").alias("v"), F.col("s").alias("b"), F.col("size").alias("m"))
@@ -165,20 +165,21 @@ def links(nodes: DataFrame, texts: DataFrame, more: DataFrame, least: float = SI
     first = members.groupBy("h").agg(F.min("leader").alias("u")).where("u < h").select("u", F.col("h").alias("v"))
     found = verified(first.union(more.select("u", "v")).distinct())
     place = (F.col("h") / F.lit(2.0**64) + 0.5) * F.col("n")  # hashes are even: the number of lower nodes in the bucket, about
-    some, low, high = members.select("key", "h", "size", "n", place.alias("place")), 0, LEADERS
+    some, low, high = members.select("key", "h", "size", "bands", "n", place.alias("place")), 0, LEADERS
     while True:
         roots = connected_components(found).select(F.col("node").alias("h"), "root")
         here = some.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
         open_ = here.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-        some = materialize(here.join(open_, "key").select("key", "h", "size", "n", "place", "root"))
+        some = materialize(here.join(open_, "key").select("key", "h", "size", "bands", "n", "place", "root"))
         if some.isEmpty():
             return found
         lead = (F.col("place") >= low) & (F.col("place") < high)
-        leaders = some.where(lead).select("key", F.col("h").alias("u"), F.col("root").alias("other"), F.col("size").alias("of"))
+        leaders = some.where(lead).select("key", F.col("h").alias("u"), F.col("root").alias("other"), F.col("size").alias("of"), F.col("bands").alias("b"))
         alike = F.least("size", "of") >= F.lit(least) * F.greatest("size", "of")
-        pairs = some.join(leaders, "key").where("u < h AND root <> other").where(alike).select("u", F.col("h").alias("v"))
+        once = F.expr("element_at(filter(zip_with(bands, b, (x, y) -> if(x = y, x, null)), x -> x IS NOT NULL), 1) = key")  # in the first bucket that both are in
+        pairs = some.join(leaders, "key").where("u < h AND root <> other").where(alike).where(once).select("u", F.col("h").alias("v"))
         found = found.union(verified(pairs.distinct()))
         some = some.where(F.col("n") > high).drop("root")
         if some.isEmpty():
             return found
-        low, high = high, 8 * high
+        low, high = high, 16 * high
