@@ -63,6 +63,29 @@ def test_keep_one_by_similarity(spark, monkeypatch, few):
     assert sorted(r.doc_id for r in kept.collect()) == brute_kept(texts)
 
 
+def test_close_sets():
+    rng = np.random.default_rng(3)
+    some = [np.unique(rng.integers(0, 40, n).astype(np.uint32)) for n in rng.integers(1, 80, 60)]
+    for one, near in zip(some[:20], similar.close_sets(some[:20], some, 0.8), strict=True):
+        true = [j for j, o in enumerate(some) if len(set(one) & set(o)) >= 0.8 * len(set(one) | set(o))]
+        assert near.tolist() == true
+
+
+def test_keep_one_in_a_large_group_of_near_copies(spark, monkeypatch):
+    """One bucket holds most texts: blocks of a few sets, several windows, a body and texts that link to nothing."""
+    for name, value in {"SMALL": 2, "WINDOW": 3, "BLOCK": 5}.items():
+        monkeypatch.setattr(similar, name, value)
+    rng, base = random.Random(11), [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(220):
+        words = base[: rng.choice((150, 150, 100))]
+        for _ in range(rng.randint(0, 6)):
+            words[rng.randrange(len(words))] = f"other{rng.randrange(9999)}"
+        texts.append(" ".join(words))
+    assert sorted(r.doc_id for r in simhash.keep_one(docs(spark, texts), similarity=0.8).collect()) == (want := brute_kept(texts))
+    assert 20 < len(want) < 200
+
+
 def test_keep_one_nulls_and_empty(spark):
     df = spark.createDataFrame([(None, "a b c d e f g"), (7, "a b c d e f g"), (None, "lone text here"), (None, "lone text here")], "doc_id long, text string")
     assert sorted(((r.doc_id, r.text) for r in simhash.keep_one(df, similarity=0.8).collect()), key=str) == [(7, "a b c d e f g"), (None, "lone text here")]

@@ -8,9 +8,12 @@ by the exact similarity of the two sets, so no link is below the bound.
 
 Words are hashed once (XXH64); a shingle's hash mixes those of its words.
 
-Equal sets are one node.  Each node is compared with the least node that it shares a bucket with.  In buckets that are not
-one component then, the nodes with the lowest hashes lead: the others are compared with them, and each round sixteen times
-as many lead, until the bucket is one component or all its open pairs have been compared, each in the first bucket it shares.  Sets are made again from the texts of
+Equal sets are one node.  Each node is compared with the least node that it shares a bucket with.  In small buckets that are
+not one component then, the open pairs are compared, each in the first bucket it shares.  In larger ones the largest component
+is the body; only nodes outside it are compared with others, first with the WINDOW nodes of lowest hashes, then with 64 times as
+many, until the bucket is one component or all its open pairs have been compared.  For that, both sides are dealt into blocks
+of bounded bytes, by size class, and each block of the one meets each block of the other in one task, which emits only
+links between different components: a set is sent once for a block, not once for a pair.  Sets are made again from the texts of
 those nodes only that share a bucket; sets whose sizes rule out the similarity are not compared.  For the comparison a shingle
 is the lower half of its hash (two different shingles of a pair of texts with 1,000 each are taken for one another with
 probability 0.0002).
@@ -28,7 +31,9 @@ from .common import joined_to_few, materialize, spill_table
 from .components import connected_components
 
 SHINGLE, SEED, SIMILARITY = 5, 42, 0.8
-BANDS, ROWS, LEADERS = 20, 5, 16
+BANDS, ROWS, SMALL, WINDOW = 20, 5, 16, 64
+#: Sets of a block at most, and their bytes, about.
+BLOCK, BLOCK_BYTES = 1024, 4 << 20
 SIGNATURE = "struct<set_id:bigint,size:bigint,fp:bigint,bands:array<bigint>>"
 
 
@@ -143,6 +148,73 @@ def _similar(a: Column, b: Column, least: float) -> Column:
     return run(a, b)
 
 
+def close_sets(ones: list[np.ndarray], others: list[np.ndarray], least: float):
+    """For each of the sorted sets, the places of the others with that Jaccard similarity or more."""
+    sizes = np.array([len(o) for o in others])
+    flat, owner = np.concatenate(others), np.repeat(np.arange(len(others)), sizes)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    for one in ones:
+        start = np.searchsorted(flat, one, "left")
+        found = np.searchsorted(flat, one, "right") - start
+        at = np.repeat(start - np.cumsum(found) + found, found) + np.arange(found.sum())
+        both = np.bincount(owner[at], minlength=len(others))
+        yield np.nonzero(both >= least * (len(one) + sizes - both))[0]
+
+
+def _block_links(left, right, least: float):
+    """Links (u, v) between the sets of two blocks that join different components, by union-find over their roots."""
+    import pyarrow as pa
+
+    parent: dict[int, int] = {}
+
+    def find(a):
+        while (up := parent.get(a, a)) != a:
+            parent[a] = parent.get(up, up)
+            a = up
+        return a
+
+    out = []
+    if left.num_rows and right.num_rows:
+        ones, others = ([np.frombuffer(s, np.uint32) for s in t.column("s").to_pylist()] for t in (left, right))
+        h, root = (right.column(c).to_numpy() for c in ("h", "root"))
+        nodes = zip(left.column("h").to_pylist(), left.column("root").to_pylist(), close_sets(ones, others, least), strict=True)
+        for u, own, near in nodes:
+            roots, at = np.unique(root[near], return_index=True)
+            for r, j in zip(roots.tolist(), near[at].tolist(), strict=True):
+                if (a := find(own)) != (b := find(r)):
+                    parent[a] = b
+                    out.append((u, int(h[j])))
+    u, v = zip(*out, strict=True) if out else ((), ())
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+def _block_rows(level: Column) -> Column:
+    """Sets of a block of sizes below 2^(level + 1)."""
+    return F.greatest(F.lit(1.0), F.least(F.lit(float(BLOCK)), F.floor(F.lit(BLOCK_BYTES) / F.pow(F.lit(2.0), level + 3))))
+
+
+def _met_in_blocks(some: DataFrame, sets: DataFrame, low: int, high: int, least: float) -> DataFrame:
+    """(u, v): links of the nodes outside the body with those whose place is in the window.
+
+    some: (key, h, size, n, place, root, body, outside), outside being the number of nodes outside the body.
+    """
+    level = lambda size: F.floor(F.log2(size)).cast("int")
+    rows = _block_rows(F.col("level"))
+    deals = F.greatest(F.lit(1.0), F.ceil(F.col("outside") / rows))
+    windows = F.greatest(F.lit(1.0), F.ceil((F.least(F.col("n"), F.lit(high)) - low) / rows))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), n.cast("int") - 1))
+    x = some.where("root <> body").join(sets.select("h", "s"), "h").withColumn("level", level(F.col("size")))
+    x = x.withColumn("i", F.pmod(F.xxhash64("h"), deals.cast("long")).cast("int")).withColumn("j", upto(windows))
+    y = some.where((F.col("place") >= low) & (F.col("place") < high)).join(sets.select("h", "s"), "h")
+    # every level that a set of a size allowed by the similarity can have: one or two
+    y = y.withColumn("level", F.explode(F.sequence(level(F.greatest(F.lit(1.0), F.floor(F.col("size") * F.lit(least)))), level(F.ceil(F.col("size") / F.lit(least))))))
+    y = y.withColumn("j", F.least(windows - 1, F.floor((F.col("place") - low) / rows)).cast("int")).withColumn("i", upto(deals))
+    by, columns = ["key", "level", "i", "j"], ["key", "level", "i", "j", "h", "root", "s"]
+    blocks = x.select(*columns).groupBy(*by).cogroup(y.select(*columns).toDF(*columns).groupBy(*by))
+    return blocks.applyInArrow(lambda left, right: _block_links(left, right, least), "u long, v long")
+
+
 def links(nodes: DataFrame, texts: DataFrame, more: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(u, v): verified links, enough to connect all candidates that are linked.
 
@@ -154,7 +226,6 @@ def links(nodes: DataFrame, texts: DataFrame, more: DataFrame, least: float = SI
     ends = more.select(F.col("u").alias("h")).union(more.select("v")).union(members.select("h")).distinct()
     wanted = materialize(joined_to_few(nodes.select("h", "at", "size", "bands"), materialize(ends), "h"))
     sets = spill_table(joined_to_few(texts, wanted.select("h", "at", "size"), "at").select("h", "size", _set_column(F.col("text")).alias("s")), "shingles")
-    members = spill_table(members.join(wanted.select("h", "size", "bands"), "h"), "members")
 
     def verified(pairs: DataFrame) -> DataFrame:
         left, right = sets.select(F.col("h").alias("u"), F.col("s").alias("a"), F.col("size").alias("n")), sets.select(F.col("h").alias("v"), F.col("s").alias("b"), F.col("size").alias("m"))
@@ -164,22 +235,30 @@ def links(nodes: DataFrame, texts: DataFrame, more: DataFrame, least: float = SI
     # first, each node with the least leader of its buckets: one candidate for each node at most, however large the bucket
     first = members.groupBy("h").agg(F.min("leader").alias("u")).where("u < h").select("u", F.col("h").alias("v"))
     found = verified(first.union(more.select("u", "v")).distinct())
-    place = (F.col("h") / F.lit(2.0**64) + 0.5) * F.col("n")  # hashes are even: the number of lower nodes in the bucket, about
-    some, low, high = members.select("key", "h", "size", "bands", "n", place.alias("place")), 0, LEADERS
-    while True:
-        roots = connected_components(found).select(F.col("node").alias("h"), "root")
-        here = some.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
-        open_ = here.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-        some = materialize(here.join(open_, "key").select("key", "h", "size", "bands", "n", "place", "root"))
-        if some.isEmpty():
-            return found
-        lead = (F.col("place") >= low) & (F.col("place") < high)
-        leaders = some.where(lead).select("key", F.col("h").alias("u"), F.col("root").alias("other"), F.col("size").alias("of"), F.col("bands").alias("b"))
-        alike = F.least("size", "of") >= F.lit(least) * F.greatest("size", "of")
-        once = F.expr("element_at(filter(zip_with(bands, b, (x, y) -> if(x = y, x, null)), x -> x IS NOT NULL), 1) = key")  # in the first bucket that both are in
-        pairs = some.join(leaders, "key").where("u < h AND root <> other").where(alike).where(once).select("u", F.col("h").alias("v"))
-        found = found.union(verified(pairs.distinct()))
-        some = some.where(F.col("n") > high).drop("root")
-        if some.isEmpty():
-            return found
-        low, high = high, 16 * high
+    roots = connected_components(found).select(F.col("node").alias("h"), "root")
+    here = members.join(roots, "h", "left").select("key", "h", "n", F.coalesce("root", "h").alias("root"))
+    parts = here.groupBy("key", "root").agg(F.count("*").alias("c"))
+    # the body is the component of this node from now on: it only grows, so that a pair outside it was never left out
+    bodies = materialize(parts.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("of"), F.count("*").alias("parts")).where("parts > 1").select("key", "of"))
+    some = materialize(joined_to_few(here, bodies, "key").drop("of").join(wanted.select("h", "size", "bands"), "h"))
+
+    # small buckets at once: every open pair in the first bucket that both are in
+    little = some.where(F.col("n") <= SMALL)
+    other = little.select("key", F.col("h").alias("u"), F.col("root").alias("own"), F.col("size").alias("of"), F.col("bands").alias("b"))
+    alike = F.least("size", "of") >= F.lit(least) * F.greatest("size", "of")
+    once = F.expr("element_at(filter(zip_with(bands, b, (x, y) -> if(x = y, x, null)), x -> x IS NOT NULL), 1) = key")
+    found = found.union(verified(little.join(other, "key").where("u < h AND root <> own").where(alike).where(once).select("u", F.col("h").alias("v"))))
+
+    place = F.least((F.col("h") / F.lit(2.0**64) + 0.5) * F.col("n"), F.col("n") - 0.5)  # hashes are even: the number of lower nodes in the bucket, about
+    some, low, high = some.where(F.col("n") > SMALL).select("key", "h", "size", "n", place.alias("place")), 0, WINDOW
+    while not some.isEmpty():
+        roots = materialize(connected_components(found).select(F.col("node").alias("h"), "root"))
+        now = bodies.join(roots.select(F.col("h").alias("of"), F.col("root").alias("body")), "of", "left").select("key", F.coalesce("body", "of").alias("body"))
+        here = joined_to_few(some.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h")), materialize(now), "key")
+        here = materialize(here)
+        open_ = materialize(here.groupBy("key").agg(F.count_if(F.col("root") != F.col("body")).alias("outside")).where("outside > 0"))
+        here = materialize(joined_to_few(here, open_, "key"))
+        found = found.union(materialize(_met_in_blocks(here, sets, low, high, least)))
+        some = here.where(F.col("n") > high).select("key", "h", "size", "n", "place")
+        low, high = high, 64 * high
+    return found
