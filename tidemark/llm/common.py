@@ -9,6 +9,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,10 +73,31 @@ def remove_all() -> None:
             remove(spark, path)
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession):
+    """What is planned and run within removes its shuffle files when it ends, not when the driver next collects garbage.
+
+    Nothing reads them again after a checkpoint, a written table or a count.  The session's own setting comes back.
+    """
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with tidy(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # planned anew, within
 
 
 def spill_table(df: DataFrame, name: str) -> DataFrame:
@@ -87,7 +109,8 @@ def spilled(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """The table of ``spill_table`` and its folder, for ``remove``."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    with tidy(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -97,7 +120,9 @@ FEW_ROWS = 500_000
 
 def joined_to_few(big: DataFrame, few: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """big joined to a computed table of narrow rows: broadcast if it has FEW_ROWS at most, so that big is not shuffled; else as any other join."""
-    return big.join(F.broadcast(few) if few.limit(FEW_ROWS + 1).count() <= FEW_ROWS else few, key, how)
+    with tidy(few.sparkSession):
+        fits = few.limit(FEW_ROWS + 1).count() <= FEW_ROWS
+    return big.join(F.broadcast(few) if fits else few, key, how)
 
 
 def free_name(df: DataFrame, stem: str) -> str:

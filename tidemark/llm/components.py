@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, tidy
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,11 @@ LINKS = 100_000
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root): root is the least node of the component; nodes without a link have no row."""
-    sign = lambda df: df.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
+
+    def sign(df):
+        with tidy(df.sparkSession):
+            return df.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
+
     edges = materialize(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct())
     before = sign(edges)
     while before[0]:
