@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -116,14 +116,23 @@ def linspace(low: Column, high: Column, points: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.when(i == points - 1, high).otherwise(low + i * step))
 
 
+def place(value: Column, knots: Column, result: Callable[[Column], Column] = lambda at: at) -> Column:
+    """How many of the ascending knots are at most the value (none for null), by steps of halved length; result makes a column of it."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(31))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(knots, at + step - 1) <= value, at + step).otherwise(at), result)
+
+
 def interpolate(value: Column, knots: Column, heights: Column) -> Column:
     """Piecewise linear through (knot, height), constant outside; null stays null."""
     n = F.size(knots)
-    at = F.size(F.filter(knots, lambda k: k <= value))
-    low, high = F.element_at(knots, F.greatest(at, F.lit(1))), F.element_at(knots, F.least(at + 1, n))
-    a, b = F.element_at(heights, F.greatest(at, F.lit(1))), F.element_at(heights, F.least(at + 1, n))
-    between = a + (b - a) * F.try_divide(value - low, high - low)
-    return F.when(value.isNull(), F.lit(None)).when(at == 0, F.element_at(heights, 1)).when(at == n, F.element_at(heights, -1)).otherwise(between)
+
+    def height(at: Column) -> Column:
+        low, high = F.element_at(knots, F.greatest(at, F.lit(1))), F.element_at(knots, F.least(at + 1, n))
+        a, b = F.element_at(heights, F.greatest(at, F.lit(1))), F.element_at(heights, F.least(at + 1, n))
+        between = a + (b - a) * F.try_divide(value - low, high - low)
+        return F.when(at == 0, F.element_at(heights, 1)).when(at == n, F.element_at(heights, -1)).otherwise(between)
+
+    return F.when(value.isNotNull(), place(value, knots, height))
 
 
 def lookup(mapping: dict, key: Column, default: Column) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import POOLED
@@ -12,6 +14,9 @@ from .sampling import with_ordinal
 
 MOST_KNOTS = 8192
 
+#: Consecutive knots that a row of a map in blocks has, and blocks whose first knots the driver may hold.
+BLOCK, MOST_BLOCKS = 512, 4_000_000
+
 
 def percentile_ranks(long: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     """(keys, value, percentile, n, position, different): average rank of each non-null value within keys over the non-null count.
@@ -34,12 +39,14 @@ def with_percentile(df: DataFrame, period: str, feature: str, name: str) -> Data
     return keyed.join(table, keyed[period].eqNullSafe(table[period]) & (keyed["__v"] == table["__v"]), "left").select(*[keyed[c] for c in df.columns], name)
 
 
-def rank_map_knots(df: DataFrame, features: list[str], period: str = "period_idx", most: int = MOST_KNOTS) -> DataFrame:
-    """(feature, period, position, value, percentile): knots of the pooled map and of each period's, thinned evenly."""
+def rank_map_knots(df: DataFrame, features: list[str], period: str = "period_idx", most: int | None = MOST_KNOTS) -> DataFrame:
+    """(feature, period, position, value, percentile): knots of the pooled map and of each period's, thinned evenly; all if most is None."""
     long = long_form(df, [period], features, True).where("value IS NOT NULL").withColumn("period", F.col(period).cast("string"))
     both = long.select("feature", F.explode(F.array(F.lit(POOLED), F.col("period"))).alias("period"), "value").where("period IS NOT NULL")
     knots = percentile_ranks(both, ["feature", "period"])
-    return knots.where((F.col("different") <= most) | is_thinned_position(F.col("position"), F.col("different"), most)).select("feature", "period", F.col("position").cast("int").alias("position"), "value", "percentile")
+    if most is not None:
+        knots = knots.where((F.col("different") <= most) | is_thinned_position(F.col("position"), F.col("different"), most))
+    return knots.select("feature", "period", F.col("position").cast("int").alias("position"), "value", "percentile")
 
 
 def is_thinned_position(position: Column, count: Column, most: int) -> Column:
@@ -59,6 +66,48 @@ def empty_map() -> tuple[list[float], list[float]]:
     return [0.0], [0.5]
 
 
+@dataclass(frozen=True)
+class MapBlocks:
+    """Percentile maps in blocks of consecutive knots, so that a row meets the block of its value and not the whole map.
+
+    firsts has the first knot of each block, by feature and period.  table: (feature, period, block, knots, heights), where the
+    first knot of the next block comes last, so that a block interpolates by itself.
+    """
+
+    firsts: dict[str, dict[str, list[float]]]
+    table: DataFrame
+
+    def count(self, feature: str) -> int:
+        return sum(len(x) for x in self.firsts.get(feature, {}).values())
+
+
+def blocks_of(spark: SparkSession, rows: list[tuple]) -> MapBlocks:
+    """Blocks of a plan's maps: (feature, period, knots, heights) rows."""
+    firsts: dict[str, dict[str, list[float]]] = {}
+    table = []
+    for feature, period, knots, heights in rows:
+        firsts.setdefault(feature, {})[period] = list(knots[::BLOCK])
+        table += [(feature, period, at // BLOCK, knots[at : at + BLOCK + 1], heights[at : at + BLOCK + 1]) for at in range(0, len(knots), BLOCK)]
+    return MapBlocks(firsts, spark.createDataFrame(table, "feature string, period string, block int, knots array<double>, heights array<double>"))
+
+
+def whole_maps(df: DataFrame, features: list[str], period: str = "period_idx") -> MapBlocks:
+    """Blocks with every knot.  They stay a table, however many; the driver gets one number in ``BLOCK``."""
+    knots = rank_map_knots(df, features, period, None)
+    block, starts = F.floor(F.col("position") / BLOCK).cast("int"), F.col("position") % BLOCK == 0
+    ends = knots.where(starts).groupBy("feature", "period").agg(F.array_sort(F.collect_list("value")).alias("firsts"))
+    firsts: dict[str, dict[str, list[float]]] = {f: {} for f in features}
+    held = 0
+    for r in ends.toLocalIterator():
+        firsts[r.feature][r.period] = r.firsts
+        held += len(r.firsts)
+        if held > MOST_BLOCKS:
+            raise ValueError(f"percentile maps have more than {MOST_BLOCKS} blocks of {BLOCK} knots")
+    home = F.when(starts & (F.col("position") > 0), F.array(block - 1, block)).otherwise(F.array(block))
+    table = knots.select("feature", "period", F.explode(home).alias("block"), "value", "percentile").groupBy("feature", "period", "block").agg(F.array_sort(F.collect_list(F.struct("value", "percentile"))).alias("k"))
+    return MapBlocks(firsts, table.select("feature", "period", "block", F.col("k.value").alias("knots"), F.col("k.percentile").alias("heights")))
+
+
 def evenly_spaced(df: DataFrame, keys: list[str], value: str, order: list[str], most: int = 4096) -> DataFrame:
     """At most ``most`` non-null values of each key, evenly spaced in the given order: positions floor(i * (n - 1) / (most - 1)).
 

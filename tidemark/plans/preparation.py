@@ -2,7 +2,7 @@
 
 All fitted state is in the plan, so transformed rows do not depend on how rows are partitioned or batched.  Small
 parameters (codes, fills, factors, remaps) are literals; percentile maps are kept as a table of one row for each feature
-and period, and broadcast after a check of their size.
+and period, and joined in blocks of knots (see ``ranks.MapBlocks``), which are broadcast up to a number of knots.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from ..functions.columns import POOLED, canonical_category, interpolate, lookup, number, yes_no
+from ..functions.columns import POOLED, canonical_category, interpolate, lookup, number, place, yes_no
 from ..operators import orientation, policy, profile, ranks
 from ..operators.drift import LIMITS
 from ..operators.sampling import with_ordinal
@@ -137,9 +137,9 @@ def build_plan(train: DataFrame, current: DataFrame, contract: ColumnContract =
     )
 
 
-def _percentile(plan: PreparationPlan, feature: str, side: str, kind: DataType | None = None) -> Column:
-    """Percentile from the joined map columns; reversed on the test side after narrowing."""
-    p = interpolate(number(F.col(f"`{feature}`"), kind), F.col(f"__map_{feature}.knots"), F.col(f"__map_{feature}.heights")).cast("float")
+def _percentile(plan: PreparationPlan, feature: str, side: str) -> Column:
+    """Percentile from the joined maps; reversed on the test side after narrowing."""
+    p = F.col(f"`__rank_{feature}`").cast("float")
     if side == "test" and feature in plan.reversed:
         p = (F.lit(1.0).cast("float") - p).cast("float")
     return F.coalesce(p, F.lit(plan.fills[feature]).cast("float"))
@@ -161,36 +161,47 @@ def prepare_number(plan: PreparationPlan, feature: str, side: str, kind: DataTyp
     return F.coalesce(x, F.lit(plan.fills[feature])).cast("float")
 
 
-def _with_maps(df: DataFrame, plan: PreparationPlan, side: str) -> DataFrame:
-    """One broadcast join for each ranked feature: the map of the row's period, or the pooled one."""
+def _with_ranks(df: DataFrame, plan: PreparationPlan, side: str, maps: ranks.MapBlocks | None = None) -> DataFrame:
+    """A column ``__rank_<feature>`` for each ranked feature: the value in the map of the row's period, or in the pooled one.
+
+    Two joins a feature: the first knots of the map give the block of the value, the block gives the percentile.
+    """
+    if not plan.ranked:
+        return df
     spark = df.sparkSession
-    out = with_period(df, plan.contract, "__period") if plan.ranked else df
-    schema = "feature string, period string, knots array<double>, heights array<double>"
+    out = with_period(df, plan.contract, "__period")
+    maps = maps or ranks.blocks_of(spark, [r for r in plan.maps[side] if r[0] in plan.ranked])
     for f in plan.ranked:
-        rows = [r for r in plan.maps[side] if r[0] == f]
-        knots, heights = next(((r[2], r[3]) for r in rows if r[1] == POOLED), ranks.empty_map())
-        own = spark.createDataFrame(rows or [(f, POOLED, knots, heights)], schema).where(F.col("period") != POOLED)
-        own = own.select(F.col("period").cast("int").alias("__p"), F.struct("knots", "heights").alias("__m"))
-        pooled = F.struct(F.array(*[F.lit(float(x)) for x in knots]).alias("knots"), F.array(*[F.lit(float(x)) for x in heights]).alias("heights")) if len(knots) <= 256 else None
-        if pooled is None:
-            whole = spark.createDataFrame([(knots, heights)], "k array<double>, h array<double>").select(F.struct(F.col("k").alias("knots"), F.col("h").alias("heights")).alias("__w"))
-            out = out.crossJoin(F.broadcast(whole))
-            pooled = F.col("__w")
-        joined = out.join(F.broadcast(own), out["__period"] == own["__p"], "left").withColumn(f"__map_{f}", F.coalesce(F.col("__m"), pooled))
-        out = joined.drop("__p", "__m", "__w")
+        firsts, blocks = maps.firsts.get(f, {}), maps.table.where(F.col("feature") == f)
+        if POOLED not in firsts:
+            empty = ranks.blocks_of(spark, [(f, POOLED, *ranks.empty_map())])
+            firsts, blocks = firsts | empty.firsts[f], blocks.unionByName(empty.table)
+        value, period = number(F.col(f"`{f}`"), df.schema[f].dataType), F.col("__period").cast("string")
+        own = [p for p in firsts if p != POOLED]
+        keyed = out.withColumn("__p", F.when(period.isin(own), period).otherwise(F.lit(POOLED)))
+        starts = spark.createDataFrame(list(firsts.items()), "__p string, __firsts array<double>")
+        at = F.when(value.isNotNull(), F.greatest(place(value, F.col("__firsts")) - 1, F.lit(0)))
+        found = keyed.join(F.broadcast(starts), "__p", "left").withColumn("__b", at).drop("__firsts")
+        blocks = blocks.select(F.col("period").alias("__p"), F.col("block").alias("__b"), F.col("knots").alias("__knots"), F.col("heights").alias("__heights"))
+        few = maps.count(f) * ranks.BLOCK <= MOST_BROADCAST_KNOTS
+        joined = found.join(F.broadcast(blocks) if few else blocks, ["__p", "__b"], "left")
+        out = joined.withColumn(f"__rank_{f}", interpolate(value, F.col("__knots"), F.col("__heights"))).drop("__p", "__b", "__knots", "__heights")
     return out
 
 
-def transform(df: DataFrame, plan: PreparationPlan, side: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """keep columns, then the plan's features in order: int codes and floats.  side: train or test (repairs apply)."""
+def transform(df: DataFrame, plan: PreparationPlan, side: str, keep: tuple[str, ...] = (), maps: ranks.MapBlocks | None = None) -> DataFrame:
+    """keep columns, then the plan's features in order: int codes and floats.  side: train or test (repairs apply).
+
+    maps: percentile maps that are too large for a plan, in place of the plan's.
+    """
     if side not in ("train", "test"):
         raise ValueError("side is train or test")
     cols = []
     for f in plan.features:
         kind = df.schema[f].dataType
-        c = encode_category(plan, f, side) if f in plan.categorical else _percentile(plan, f, side, kind) if f in plan.ranked else prepare_number(plan, f, side, kind)
+        c = encode_category(plan, f, side) if f in plan.categorical else _percentile(plan, f, side) if f in plan.ranked else prepare_number(plan, f, side, kind)
         cols.append(c.alias(f))
-    return _with_maps(df, plan, side).select(*[F.col(f"`{k}`") for k in keep], *cols)
+    return _with_ranks(df, plan, side, maps).select(*[F.col(f"`{k}`") for k in keep], *cols)
 
 
 def evidence_frame(spark: SparkSession, plan: PreparationPlan) -> DataFrame:

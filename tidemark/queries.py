@@ -577,11 +577,11 @@ def transform_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {ORDERS_SQL}, k AS (SELECT id, (rank() OVER (PARTITION BY p ORDER BY o_totalprice) + (count(*) OVER (PARTITION BY p, o_totalprice) - 1) / 2.0) / count(*) OVER (PARTITION BY p) AS pct FROM f WHERE now)
 SELECT id, round(CAST(1.0 AS FLOAT) - CAST(pct AS FLOAT), 4) AS o_totalprice FROM k""")
 def transform_reverse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Percentiles of the row's own period, reversed.  The maps are not thinned, so they give the ranks themselves."""
+    """Percentiles of the row's own period, reversed.  The maps have every knot, so they give the ranks themselves; they stay a table."""
     current = sides(orders_frame(spark, sf_dir))[1]
-    maps = {"test": [(r.feature, r.period, r.knots, r.heights) for r in ranks.rank_maps(current, ["o_totalprice"], most=preparation.MOST_BROADCAST_KNOTS).collect()]}
-    plan = _fixed_plan(features=["o_totalprice"], numeric=["o_totalprice"], fills={"o_totalprice": 0.5}, ranked=["o_totalprice"], reversed=["o_totalprice"], maps=maps)
-    return preparation.transform(current, plan, "test", ("id",)).withColumn("o_totalprice", F.round("o_totalprice", 4))
+    plan = _fixed_plan(features=["o_totalprice"], numeric=["o_totalprice"], fills={"o_totalprice": 0.5}, ranked=["o_totalprice"], reversed=["o_totalprice"])
+    maps = ranks.whole_maps(current, ["o_totalprice"])
+    return preparation.transform(current, plan, "test", ("id",), maps).withColumn("o_totalprice", F.round("o_totalprice", 4))
 
 
 @query()
