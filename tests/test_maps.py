@@ -1,5 +1,6 @@
 """Percentile maps in blocks: as numpy, at the ends of blocks too; every knot of a large map; time that doesn't grow with knots times rows."""
 
+import re
 import time
 
 import numpy as np
@@ -67,3 +68,15 @@ def test_large_map_in_bounded_time(spark):
     began = time.perf_counter()
     wrong = preparation.transform(df, plan, "test", ("id",)).where(F.col("x") != F.lit(1.0).cast("float") - ((F.col("id") * 7919 % n + 1) / n).cast("float")).count()
     assert wrong == 0 and time.perf_counter() - began < 40
+
+
+def test_maps_deal_no_period_to_one_task(spark):
+    """Without Spark's own broadcasts, knots are joined by range too, never by feature and period alone."""
+    df = spark.range(100).select(F.lit(1).alias("period_idx"), F.col("id").cast("double").alias("x"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ranks.rank_map_knots(df, ["x"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[([^\]]*)\]", plan)
+    assert joins and all("range#" in keys for keys in joins)

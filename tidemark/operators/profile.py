@@ -108,25 +108,26 @@ def _range_of(ranges: int) -> str:
     return f"CASE WHEN {u} <= 0 THEN 0 ELSE {ranges} * (51 + greatest(floor(log2({u})), -50)) + floor({ranges} * ({u} / pow(2D, greatest(floor(log2({u})), -50)) - 1)) END"
 
 
-def in_ranges(counts: DataFrame, counters: list[str], ranges: int = RANGES) -> DataFrame:
+def in_ranges(counts: DataFrame, counters: list[str], ranges: int = RANGES, few: bool = False) -> DataFrame:
     """Non-null values with the number of the value range that each is in, and the feature's totals t_<counter>.
 
     A value's place between the feature's least and greatest finite value, a number of [0, 1], has so many ranges in each
     octave.  Least, greatest and totals are exact whatever the order of rows, so a repeated task finds the same ranges.  They
     are a row for each feature; names of features are as many as a table has columns, so that rows by name are broadcast.
+    few: so are rows by other keys, which the caller knows to be few; else the join deals the values of a key to one task.
     """
     some = counts.where("value IS NOT NULL")
     ends = some.groupBy("feature").agg(F.expr(f"min({FINITE}) / 2 AS low"), F.expr(f"max({FINITE}) / 2 AS high"), *[F.expr(f"sum({c}) AS t_{c}") for c in counters])
     named = isinstance(counts.schema["feature"].dataType, T.StringType)
-    return some.join(F.broadcast(ends) if named else ends, "feature").withColumn("range", F.expr(_range_of(ranges))).drop("low", "high")
+    return some.join(F.broadcast(ends) if named or few else ends, "feature").withColumn("range", F.expr(_range_of(ranges))).drop("low", "high")
 
 
-def cumulative(counts: DataFrame, counters: list[str], ranges: int = RANGES) -> DataFrame:
+def cumulative(counts: DataFrame, counters: list[str], ranges: int = RANGES, few: bool = False) -> DataFrame:
     """Adds c_<counter> (up to and with the value) and t_<counter> (total) for non-null values, by feature.
 
     ``feature`` can be a struct: nulls in it are values like any other.
     """
-    ranged = in_ranges(counts, counters, ranges)
+    ranged = in_ranges(counts, counters, ranges, few)
     by_range = ranged.groupBy("feature", "range").agg(*[F.expr(f"sum({c}) AS s_{c}") for c in counters])
     before = "PARTITION BY feature ORDER BY `range` ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     offsets = by_range.selectExpr("feature", "`range`", *[f"coalesce(sum(s_{c}) OVER ({before}), 0) AS o_{c}" for c in counters])

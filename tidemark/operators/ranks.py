@@ -18,16 +18,17 @@ MOST_KNOTS = 8192
 BLOCK, MOST_BLOCKS = 512, 4_000_000
 
 
-def percentile_ranks(long: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
+def percentile_ranks(long: DataFrame, keys: list[str], value: str = "value", few: bool = False) -> DataFrame:
     """(keys, value, percentile, n, position, different): average rank of each non-null value within keys over the non-null count.
 
     position counts the different values of the keys from 0, different is how many there are; null keys are keys.
 
     It comes from counts of different values with cumulative sums over value ranges, so no window holds a whole key.
+    few: keys are few enough to broadcast a row for each.
     """
     counts = long.where(F.col(value).isNotNull()).groupBy(F.struct(*keys).alias("feature"), F.col(value).alias("value")).agg(F.count("*").alias("n"), F.lit(1).alias("one"))
     rank = F.col("c_n") - (F.col("n") - 1) / 2
-    return P.cumulative(counts, ["n", "one"]).select(
+    return P.cumulative(counts, ["n", "one"], few=few).select(
         *[F.col("feature")[k].alias(k) for k in keys], F.col("value").alias(value), (rank / F.col("t_n")).alias("percentile"), "n", (F.col("c_one") - 1).alias("position"), F.col("t_one").alias("different")
     )
 
@@ -43,7 +44,7 @@ def rank_map_knots(df: DataFrame, features: list[str], period: str = "period_idx
     """(feature, period, position, value, percentile): knots of the pooled map and of each period's, thinned evenly; all if most is None."""
     long = long_form(df, [period], features, True).where("value IS NOT NULL").withColumn("period", F.col(period).cast("string"))
     both = long.select("feature", F.explode(F.array(F.lit(POOLED), F.col("period"))).alias("period"), "value").where("period IS NOT NULL")
-    knots = percentile_ranks(both, ["feature", "period"])
+    knots = percentile_ranks(both, ["feature", "period"], few=True)
     if most is not None:
         knots = knots.where((F.col("different") <= most) | is_thinned_position(F.col("position"), F.col("different"), most))
     return knots.select("feature", "period", F.col("position").cast("int").alias("position"), "value", "percentile")
